@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from medloom.plans.catalog import staged
+from medloom.plans.catalog import aggregates, quality, searches, staged
 from medloom.plans.catalog.base import Query
 
 CATALOG: dict[str, Query] = {
     **staged.QUERIES,
+    **searches.QUERIES,
+    **aggregates.QUERIES,
+    **quality.QUERIES,
 }

@@ -91,14 +91,15 @@ def main() -> int:
     for name, run in entry.queries().items():
         if args and name not in args:
             continue
-        start = time.time()
+        start, rows = time.time(), -1
         try:
             df = run(spark, sf_dir)
-            problem = mismatch(df, con, sqls[name]) if name in sqls else f"(rows only: {df.count()})"
+            rows = con.execute(f"SELECT count(*) FROM ({sqls[name]})").fetchone()[0] if name in sqls else df.count()
+            problem = mismatch(df, con, sqls[name]) if name in sqls else None
         except Exception as e:
             problem = f"{type(e).__name__}: {str(e)[:600]}"
         bad += bool(problem) and name in sqls
-        print(f"{'ok ' if not problem else 'BAD'} {name:32s} {time.time() - start:6.2f}s {problem or ''}", flush=True)
+        print(f"{'ok ' if not problem else 'BAD'} {name:32s} {time.time() - start:6.2f}s {rows:8d} {problem or ''}", flush=True)
     print("failed:", bad)
     return bad
 
