@@ -81,8 +81,12 @@ def dq_expected_codes(df: DataFrame, column: str, codes: Collection[Any]) -> Dat
 
 
 def dq_required_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    rows = [("required_columns", c, int(c not in df.columns), 1, c in df.columns) for c in columns]
-    return df.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
+    """Without the column every row is a violation."""
+    n = F.col("n")
+    results = [
+        _result("required_columns", c, F.lit(0) if c in df.columns else n, n) for c in columns
+    ]
+    return _report(df.agg(_rows().alias("n")), *results)
 
 
 def dq_contract(df: DataFrame, contract: Contract) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from medloom.plans.catalog import aggregates, quality, searches, staged
+from medloom.plans.catalog import aggregates, files, ingest, quality, searches, staged, streams
 from medloom.plans.catalog.base import Query
 
 CATALOG: dict[str, Query] = {
@@ -10,4 +10,7 @@ CATALOG: dict[str, Query] = {
     **searches.QUERIES,
     **aggregates.QUERIES,
     **quality.QUERIES,
+    **ingest.QUERIES,
+    **files.QUERIES,
+    **streams.QUERIES,
 }

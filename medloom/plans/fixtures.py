@@ -346,6 +346,10 @@ def measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_ingestion(table(spark, sf_dir, "events"))
+
+
+def with_ingestion(events: DataFrame) -> DataFrame:
     """Events with an ingestion time and, read as job events, a job status."""
     status = (
         F.when(F.col("event_type").isin("view", "signup"), "accepted")
@@ -353,7 +357,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "purchase", "completed")
         .otherwise("failed")
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id",
         "ts",
         "event_type",

@@ -27,13 +27,45 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     and filters on paths reach the scan.
     """
     configure(spark)
+
+    def land(target: str) -> None:
+        write_raw_table(as_raw(_DOCUMENTS[name](spark, sf_dir), f"{name}.ndjson"), target)
+
+    return spark.read.parquet(_once(spark, sf_dir, name, land))
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, land: Callable[[str], None]) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
-        docs = _DOCUMENTS[name](spark, sf_dir)
-        target = scratch_dir(spark, f"raw-{name}")
-        write_raw_table(as_raw(docs, f"{name}.ndjson"), target)
+        target = scratch_dir(spark, name)
+        land(target)
         _landed[key] = target
-    return spark.read.parquet(_landed[key])
+    return _landed[key]
+
+
+LINES_PER_FILE = 100_000
+
+
+def ndjson_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of uploaded NDJSON files with defects, lines in the order of their key.
+
+    The number of files grows with the input, so each stays at about ``LINES_PER_FILE``.
+    """
+
+    def land(target: str) -> None:
+        rows = fixtures.table(spark, sf_dir, "customer", "c_custkey").count()
+        files = max(3, rows // LINES_PER_FILE)
+        lines = fixtures.ndjson_lines(spark, sf_dir, files)
+        name = F.format_string("patients_%d.ndjson", "file_no")
+        (
+            lines.repartition(files, "file_no")
+            .sortWithinPartitions("file_no", "c_custkey")
+            .select("value", name.alias("file"))
+            .write.partitionBy("file")
+            .text(target)
+        )
+
+    return _once(spark, sf_dir, "ndjson", land)
 
 
 def as_raw(docs: DataFrame, source_file: str) -> DataFrame:

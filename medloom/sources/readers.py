@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -176,17 +177,20 @@ def _as_type(text: Column, type_: str) -> Column:
 
 
 def convert_omop_dir(spark: SparkSession, in_dir: str, out_dir: str) -> DataFrame:
-    """Every CSV in a folder to Parquet; one report row per table, errors do not stop it.
+    """Every CSV table in a folder to Parquet; one report row per table, errors do not stop it.
 
+    A table is a file ``<table>.csv`` or a folder ``<table>.csv`` of parts.
     Report: ``table, rows, output, unfit_columns, error``.
     """
-    files = [r.path for r in source_manifest(spark, in_dir, "*.csv").select("path").collect()]
+    below = F.regexp_extract("path", re.escape(in_dir.rstrip("/")) + "/+([^/]+)", 1)
+    found = source_manifest(spark, in_dir, "*.csv").select(below.alias("name")).distinct()
     report = []
-    for file in sorted(files):
-        table = os.path.splitext(os.path.basename(file))[0]
+    # One name per table, not per file.
+    for name in sorted(row["name"] for row in found.collect()):
+        table = name.removesuffix(".csv")
         target = os.path.join(out_dir, f"{table}.parquet")
         try:
-            df, failed = read_omop_csv(spark, file, table)
+            df, failed = read_omop_csv(spark, os.path.join(in_dir, name), table)
             df.write.mode("overwrite").parquet(target)
             rows = spark.read.parquet(target).count()
             report.append((table, rows, target, sorted(failed), None))

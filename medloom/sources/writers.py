@@ -109,7 +109,8 @@ def materialize_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def materialize_table(df: DataFrame, name: str) -> DataFrame:
-    df.write.mode("overwrite").saveAsTable(name)
+def materialize_table(df: DataFrame, name: str, path_: str | None = None) -> DataFrame:
+    """Managed table, or a table over ``path_``; replaces an earlier one."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path_) if path_ else writer).saveAsTable(name)
     return df.sparkSession.table(name)
-

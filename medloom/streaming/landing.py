@@ -59,9 +59,14 @@ def _for_each_batch_of_files(
 
 
 def stream_validate_landing(
-    spark: SparkSession, landing: str, out: str, checkpoint: str, max_files: int = MAX_FILES
+    spark: SparkSession,
+    landing: str,
+    out: str,
+    checkpoint: str,
+    glob: str = "*.ndjson",
+    max_files: int = MAX_FILES,
 ) -> StreamingQuery:
-    """New ``*.ndjson`` files -> ``processed/``; a file with a bad line -> ``quarantine/``."""
+    """New NDJSON files -> ``processed/``; a file with a bad line -> ``quarantine/``."""
 
     def handle(paths: list[str], batch_id: int) -> None:
         checked = validate_ndjson(read_ndjson_lines(spark, paths))
@@ -70,7 +75,7 @@ def stream_validate_landing(
         write_ndjson(valid, os.path.join(out, "processed", part), mode="overwrite")
         failed.write.mode("overwrite").json(os.path.join(out, "quarantine", part))
 
-    files = _new_files(spark, landing, "*.ndjson", max_files)
+    files = _new_files(spark, landing, glob, max_files)
     return _for_each_batch_of_files(files, checkpoint, handle)
 
 
