@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DOC = "record_content"
@@ -17,6 +19,11 @@ def path(expr: str, type_: str = "string", doc: str | Column = DOC) -> Column:
     return F.try_variant_get(doc, "$" + expr, type_)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strict_json(text: str | Column) -> Column:
     """Whole text as one VARIANT; null when it is not exactly one JSON value.
 
@@ -27,12 +34,24 @@ def strict_json(text: str | Column) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     mark = F.md5(text)
     pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
-    return F.when(
-        F.try_variant_get(pair, "$[1]", "string") == mark,
-        F.try_variant_get(pair, "$[0]", "variant"),
+    return let(
+        pair,
+        lambda p: F.when(
+            F.try_variant_get(p, "$[1]", "string") == mark,
+            F.try_variant_get(p, "$[0]", "variant"),
+        ),
     )
 
 
+def with_document(df: DataFrame, text: str, name: str = DOC) -> DataFrame:
+    """Add the parsed text as a column that is parsed once per row.
+
+    A plain column would be copied into every filter pushed below it and parsed again there;
+    the optimizer does not copy the output of a generator.
+    """
+    return df.select("*", F.explode(F.array(strict_json(text))).alias(name))
+
+
 def is_json_object(text: str | Column) -> Column:
     """True when a text already known to be JSON holds an object."""
     text = F.col(text) if isinstance(text, str) else text

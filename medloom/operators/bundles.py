@@ -7,17 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medloom.functions.documents import path, strict_json
+from medloom.functions.documents import let, path, with_document
 from medloom.schemas import BUNDLE_TYPES
 
 
 def validate_bundle(df: DataFrame, body: str = "body") -> DataFrame:
     """Add ``bundle`` (parsed) and ``error`` (first broken rule, null when valid)."""
-    parsed = df.withColumn("bundle", strict_json(body))
-    entries = path(".entry", "array<variant>", "bundle")
-    lacking = F.array_position(
-        F.transform(entries, lambda e: path(".resource", "variant", e).isNull()), True
-    )
+    parsed = with_document(df, body, "bundle")
     kind = path(".resourceType", doc="bundle")
     type_ = path(".type", doc="bundle")
     # Fixed value: the allowed types as they appear in the message.
@@ -26,6 +22,15 @@ def validate_bundle(df: DataFrame, body: str = "body") -> DataFrame:
     def shown(c: Column) -> Column:
         return F.coalesce(c, F.lit("None"))
 
+    def entry_problem(lacking: Column) -> Column:
+        first = F.array_position(lacking, True)
+        return F.when(F.coalesce(F.size(lacking), F.lit(0)) <= 0, "Bundle contains no entries").when(
+            first > 0,
+            F.concat(
+                F.lit("Entry "), (first - 1).cast("string"), F.lit(" missing 'resource' field")
+            ),
+        )
+
     error = (
         F.when(F.coalesce(F.length(body), F.lit(0)) == 0, "Request body is empty")
         .when(F.col("bundle").isNull(), "Invalid JSON")
@@ -39,12 +44,14 @@ def validate_bundle(df: DataFrame, body: str = "body") -> DataFrame:
                 F.lit("Unsupported bundle type: "), shown(type_), F.lit(f". Valid types: {allowed}")
             ),
         )
-        .when(F.coalesce(F.size(entries), F.lit(0)) <= 0, "Bundle contains no entries")
-        .when(
-            lacking > 0,
-            F.concat(
-                F.lit("Entry "), (lacking - 1).cast("string"), F.lit(" missing 'resource' field")
-            ),
+        .otherwise(
+            let(
+                F.transform(
+                    path(".entry", "array<variant>", "bundle"),
+                    lambda e: path(".resource", "variant", e).isNull(),
+                ),
+                entry_problem,
+            )
         )
     )
     return parsed.withColumn("error", error)
@@ -62,8 +69,10 @@ def explode_bundle(df: DataFrame, doc: str = "bundle") -> DataFrame:
     )
     parts = F.when(is_bundle, inside).otherwise(F.array(F.col(doc)))
     rows = df.select(*others, F.explode(parts).alias("record_content"))
+    # Only resources without a type have to be looked at as a whole.
+    typed = path(".resourceType", "variant").isNotNull()
     filled = F.col("record_content").isNotNull() & ~F.is_variant_null("record_content")
-    return rows.filter(filled & (F.to_json("record_content") != "{}"))
+    return rows.filter(typed | (filled & (F.to_json("record_content") != "{}")))
 
 
 def count_resources(df: DataFrame, keys: Sequence[str], doc: str = "bundle") -> DataFrame:

@@ -9,8 +9,8 @@ from medloom.functions.documents import (
     is_blank,
     is_json_object,
     path,
-    strict_json,
     with_default_meta,
+    with_document,
 )
 
 
@@ -38,11 +38,8 @@ def validate_ndjson(lines: DataFrame, mode: str = "quarantine") -> DataFrame:
             F.concat(F.lit("Missing 'resourceType' on line "), line),
         )
     )
-    checked = (
-        lines.filter(~is_blank("value"))
-        .withColumn("record_content", strict_json("value"))
-        .withColumn("error", problem)
-    )
+    documents = with_document(lines.filter(~is_blank("value")), "value")
+    checked = documents.withColumn("error", problem)
     if mode == "failfast":
         first = (
             checked.filter(F.col("error").isNotNull())

@@ -22,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return read_parquet_table(spark, sf_dir, name, columns or None)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small table, stored as a few splits, to all cores; a large one is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _iso(ts: Column) -> Column:
     return F.date_format(ts, _ISO)
 
@@ -71,7 +77,7 @@ def patient_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    customer = table(spark, sf_dir, "customer").join(
+    customer = spread(table(spark, sf_dir, "customer")).join(
         places, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     key, text = F.col("c_custkey"), _text("c_custkey")
@@ -135,7 +141,7 @@ def encounter_status() -> Column:
 def encounter_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, value`` with one Encounter per order."""
     customer = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    orders = table(spark, sf_dir, "orders").join(
+    orders = spread(table(spark, sf_dir, "orders")).join(
         customer, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
     key = F.col("o_orderkey")
@@ -210,7 +216,7 @@ def observation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").join(
         customer, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem")).join(
         orders, F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
     code = F.col("l_partkey") % 3
@@ -384,7 +390,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bundle_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One webhook request per order; six in twenty break one rule each."""
     customer = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    orders = table(spark, sf_dir, "orders").join(
+    orders = spread(table(spark, sf_dir, "orders")).join(
         customer, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
     key = F.col("o_orderkey")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from medloom.functions.documents import is_blank, path, strict_json
+from medloom.functions.documents import is_blank, path, with_document
 from medloom.schemas import OMOP_SCHEMAS
 
 # A file of this name, or the parts of a folder of this name (as ``write_ndjson`` makes them).
@@ -106,11 +106,8 @@ def read_ndjson_raw(
     """NDJSON files as the raw table; only files whose name matches the resource."""
     pattern = name_pattern or DEFAULT_NAME_PATTERN.format(resource=resource)
     lines = read_ndjson_lines(spark, paths, pattern, numbered).filter(~is_blank("value"))
-    return lines.select(
-        strict_json("value").alias("record_content"),
-        "ingestion_time",
-        "source_file",
-        "source_file_row_number",
+    return with_document(lines, "value").select(
+        "record_content", "ingestion_time", "source_file", "source_file_row_number"
     )
 
 
