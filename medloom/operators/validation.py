@@ -12,6 +12,11 @@ from medloom.functions.documents import (
     with_default_meta,
     with_document,
 )
+from medloom.session import sized
+
+
+# Up to this many failed files are broadcast.
+BROADCAST_FILES = 100_000
 
 
 class InvalidInput(Exception):
@@ -64,11 +69,16 @@ def split_valid_quarantine(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def split_valid_quarantine_files(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Whole files pass or fail: one bad line keeps the complete file out."""
-    failed = (
+    """Whole files pass or fail: one bad line keeps the complete file out.
+
+    Finds the failed files at once, so that few of them cost the valid lines no shuffle.
+    """
+    failed = sized(
         checked.filter(F.col("error").isNotNull())
         .groupBy("source_file")
-        .agg(F.min_by("error", "source_file_row_number").alias("error"))
+        .agg(F.min_by("error", "source_file_row_number").alias("error")),
+        "failed-files",
+        BROADCAST_FILES,
     )
     valid = add_default_meta(checked.join(failed, "source_file", "left_anti")).drop("error")
     return valid, failed

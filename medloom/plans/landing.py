@@ -55,12 +55,13 @@ def ndjson_files(spark: SparkSession, sf_dir: str) -> str:
     def land(target: str) -> None:
         rows = fixtures.table(spark, sf_dir, "customer", "c_custkey").count()
         files = max(3, rows // LINES_PER_FILE)
-        lines = fixtures.ndjson_lines(spark, sf_dir, files)
         name = F.format_string("patients_%d.ndjson", "file_no")
+        lines = fixtures.ndjson_lines(spark, sf_dir, files).withColumn("file", name)
         (
-            lines.repartition(files, "file_no")
-            .sortWithinPartitions("file_no", "c_custkey")
-            .select("value", name.alias("file"))
+            lines.repartition(files, "file")
+            # Starts with the folder column, so the writer does not sort again.
+            .sortWithinPartitions("file", "c_custkey")
+            .select("value", "file")
             .write.partitionBy("file")
             .text(target)
         )

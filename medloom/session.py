@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime SQL settings the operators rely on; all can be set on a running session.
 RUNTIME_CONF = {
@@ -19,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.variant.pushVariantIntoScan": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Compressed files unpack to several times their size: keep that out of broadcasts that
+    # are planned from file sizes. At run time adaptive execution uses measured sizes.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # Split a hot patient / encounter key at run time, also where that costs a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -58,3 +62,16 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="medloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"medloom-{purpose}-{uuid.uuid4().hex}")
+
+
+def sized(df: DataFrame, purpose: str, max_rows: int) -> DataFrame:
+    """Write a frame that should be small to the scratch folder and read it back.
+
+    Runs a job. The rows are counted from the written files: up to ``max_rows`` the frame is
+    marked for broadcast, beyond that it joins by shuffle like any other.
+    """
+    spark = df.sparkSession
+    target = scratch_dir(spark, purpose)
+    df.write.parquet(target)
+    written = spark.read.parquet(target)
+    return F.broadcast(written) if written.count() <= max_rows else written

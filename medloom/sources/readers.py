@@ -13,13 +13,16 @@ from pyspark.sql import window as W
 
 from medloom.functions.documents import is_blank, path, with_document
 from medloom.schemas import OMOP_SCHEMAS
+from medloom.session import sized
 
 # A file of this name, or the parts of a folder of this name (as ``write_ndjson`` makes them).
 DEFAULT_NAME_PATTERN = r".*{resource}.*\.ndjson(/[^/]*)?"
 
-# Which line of which split a row came from.
 _SPLIT = ["source_file", "_split_start"]
 
+# Up to this many splits their line counts are broadcast (some tens of MB).
+BROADCAST_SPLITS = 250_000
+
 
 def read_ndjson_lines(
     spark: SparkSession,
@@ -61,7 +64,9 @@ def read_ndjson_lines(
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``source_file_row_number`` (1-based) and ``first_text_row`` of the file.
 
-    ``first_text_row`` is the number of the first line that is not blank.
+    ``first_text_row`` is the number of the first line that is not blank. The line counts
+    per split are computed at once and kept in the scratch folder; the lines themselves are
+    not shuffled unless there are more than ``BROADCAST_SPLITS`` splits.
     """
     placed = lines.withColumn("_at", F.monotonically_increasing_id())
     splits = placed.groupBy(*_SPLIT).agg(
@@ -90,7 +95,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
         F.raise_error(F.lit("file splits changed between passes; run again")).cast("bigint")
     )
     return (
-        placed.join(offsets, _SPLIT, "left")
+        placed.join(sized(offsets, "split-lines", BROADCAST_SPLITS), _SPLIT, "left")
         .withColumn("source_file_row_number", number)
         .drop("_split_start", "_at", "_lines", "_first_at", "_before")
     )

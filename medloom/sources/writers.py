@@ -30,11 +30,15 @@ def write_flat_parquet(df: DataFrame, target: str, mode: str = "overwrite") -> N
 def write_ndjson(
     df: DataFrame, target: str, text: str = "value", file: str = "source_file", mode: str = "append"
 ) -> None:
-    """Document text to NDJSON; the original file name stays as a folder name."""
-    name = F.element_at(F.split(F.col(file), "/"), -1)
-    df.select(F.col(text).alias("value"), name.alias("file")).write.mode(mode).partitionBy(
-        "file"
-    ).text(target)
+    """Document text to NDJSON; the original file name stays as a folder name.
+
+    Known row numbers keep the lines of a file in order within each part.
+    """
+    named = df.withColumn("file", F.element_at(F.split(F.col(file), "/"), -1))
+    order = [c for c in ("file", "source_file_row_number") if c in named.columns]
+    named.sortWithinPartitions(*order).select(F.col(text).alias("value"), "file").write.mode(
+        mode
+    ).partitionBy("file").text(target)
 
 
 def bundles_of(df: DataFrame, text: str, size: int) -> DataFrame:
