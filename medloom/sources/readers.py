@@ -137,10 +137,10 @@ def read_resource_files(spark: SparkSession, folder: str, glob: str = "patient_*
 def _whole_files(
     spark: SparkSession, paths: str | Sequence[str], glob: str | None = None
 ) -> DataFrame:
-    reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
+    reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    text = reader.text(list(paths) if not isinstance(paths, str) else paths)
+    text = reader.text(list(paths) if not isinstance(paths, str) else paths, wholetext=True)
     return text.select("value", F.col("_metadata.file_path").alias("source_file"))
 
 
@@ -212,7 +212,8 @@ def read_parquet_table(
 def source_manifest(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
     """``path, length, modificationTime`` of the available files; an error if none.
 
-    File contents are not read: the column is pruned from the scan.
+    File contents are not read: the column is pruned from the scan. Spark's readers pass over
+    empty files, so they are not listed either.
     """
     files = (
         spark.read.format("binaryFile")
