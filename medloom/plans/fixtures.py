@@ -74,11 +74,14 @@ def birth_date(key: str = "c_custkey") -> Column:
 
 def patient_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, value`` with one Patient per customer."""
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    customer = spread(table(spark, sf_dir, "customer")).join(
-        places, F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    customer = (
+        spread(table(spark, sf_dir, "customer"))
+        .join(
+            table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        )
+        .join(
+            table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
+        )
     )
     key, text = F.col("c_custkey"), _text("c_custkey")
     mrn = F.struct(
@@ -333,7 +336,7 @@ def condition_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem")).join(
         orders, F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
     code = F.col("l_partkey") % 3

@@ -20,9 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.variant.pushVariantIntoScan": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Compressed files unpack to several times their size: keep that out of broadcasts that
-    # are planned from file sizes. At run time adaptive execution uses measured sizes.
-    "spark.sql.sources.fileCompressionFactor": "4.0",
+    # Compressed files unpack to a multiple of their size: count that in broadcasts planned
+    # from file sizes. At run time adaptive execution uses measured sizes.
+    "spark.sql.sources.fileCompressionFactor": "2.0",
     # Split a hot patient / encounter key at run time, also where that costs a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
