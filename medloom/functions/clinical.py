@@ -29,8 +29,11 @@ def encounter_is_active(status: Column) -> Column:
 
 
 def number_text(value: Column) -> Column:
-    """A double as text without a trailing ``.0``."""
-    return F.regexp_replace(value.cast("string"), r"\.0$", "")
+    """A double as text: no trailing ``.0``, no exponent between 1e-9 and 1e15."""
+    text = value.cast("string")
+    digits = F.regexp_replace(value.try_cast("decimal(38,15)").cast("string"), r"\.?0+$", "")
+    spelled_out = text.contains("E") & F.abs(value).between(1e-9, 1e15)
+    return F.when(spelled_out, digits).otherwise(F.regexp_replace(text, r"\.0$", ""))
 
 
 def observation_value_display(

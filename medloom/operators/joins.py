@@ -19,19 +19,20 @@ def fhir_omop_birth_join(person: DataFrame, flat_patient: DataFrame) -> DataFram
     return omop.join(fhir, F.col("person_id") == F.col("person_id_omop"))
 
 
-def _ids(person: DataFrame, flat_patient: DataFrame) -> tuple[DataFrame, DataFrame]:
+def distinct_ids(person: DataFrame, flat_patient: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Person ids of the OMOP side and of the FHIR side; unknown ids are left out there."""
     omop = person.select("person_id").distinct()
     fhir = flat_patient.select(F.col("person_id_omop").cast("bigint").alias("person_id"))
     return omop, fhir.filter(F.col("person_id").isNotNull()).distinct()
 
 
 def missing_in_fhir(person: DataFrame, flat_patient: DataFrame) -> DataFrame:
-    omop, fhir = _ids(person, flat_patient)
+    omop, fhir = distinct_ids(person, flat_patient)
     return omop.join(fhir, "person_id", "left_anti")
 
 
 def missing_in_omop(person: DataFrame, flat_patient: DataFrame) -> DataFrame:
-    omop, fhir = _ids(person, flat_patient)
+    omop, fhir = distinct_ids(person, flat_patient)
     return fhir.join(omop, "person_id", "left_anti")
 
 

@@ -144,7 +144,7 @@ def dim_patient(flat_patient: DataFrame, person: DataFrame) -> DataFrame:
         F.col("f.patient_id").alias("patient_id"),
         gender.alias("gender"),
         "year_of_birth",
-        F.col("f.birth_date").cast("date").alias("birth_date"),
+        F.col("f.birth_date").try_cast("date").alias("birth_date"),
         F.when(F.col("f.patient_id").isNotNull(), F.col("f.deceased_datetime").isNotNull()).alias(
             "is_deceased"
         ),
@@ -155,13 +155,16 @@ def dim_patient(flat_patient: DataFrame, person: DataFrame) -> DataFrame:
 
 def fact_chronic_condition(
     condition: DataFrame,
-    dim_patient: DataFrame,
+    patients: DataFrame,
     concept_set: Collection[int] = CORE_DIAGNOSIS_CONCEPTS,
     names: Mapping[int, str] = CONDITION_NAMES,
 ) -> DataFrame:
-    """Condition records of known persons, with ``is_chronic`` and a name."""
+    """Condition records of known persons, with ``is_chronic`` and a name.
+
+    ``patients`` is the patient dimension or any frame with its ``person_id``, one row each.
+    """
     concept = F.col("condition_concept_id")
-    return condition.join(dim_patient.select("person_id"), "person_id").select(
+    return condition.join(patients.select("person_id"), "person_id").select(
         "condition_occurrence_id",
         "person_id",
         "condition_concept_id",

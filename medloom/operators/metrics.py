@@ -243,7 +243,7 @@ def metric_age_at_first_condition(fact: DataFrame, dim_patient: DataFrame) -> Da
     """Calendar-year age; a condition before birth gives a negative value and is kept."""
     first = _chronic(fact).groupBy("person_id").agg(F.min("condition_start_date").alias("first"))
     born = dim_patient.select("person_id", "year_of_birth")
-    age = F.year(F.col("first").cast("date")) - F.col("year_of_birth")
+    age = F.year(F.col("first").try_cast("date")) - F.col("year_of_birth")
     return first.join(born, "person_id").select(
         "person_id", age.cast("bigint").alias("age_at_first_condition")
     )
@@ -298,7 +298,7 @@ def calculate_metric(
     if grain:
         if not spec.timestamp:
             raise ValueError(f"metric {spec.name} has no timestamp")
-        moment = F.col(spec.timestamp).cast("timestamp_ntz")
+        moment = F.col(spec.timestamp).try_cast("timestamp_ntz")
         keys.append(F.date_trunc(grain, moment).cast("date").alias(f"date_{grain}"))
     return df.groupBy(*keys).agg(_AGGREGATES[spec.type](F.expr(spec.expr)).alias(spec.name))
 

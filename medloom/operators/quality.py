@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.operators.joins import fhir_omop_birth_join, missing_in_fhir, missing_in_omop
+from medloom.operators.joins import distinct_ids, fhir_omop_birth_join
 from medloom.schemas import AGE_PROFILE, CORE_DIAGNOSIS_CONCEPTS
 
 RESULT_SCHEMA = "check string, subject string, violations bigint, total bigint, passed boolean"
@@ -252,57 +252,70 @@ def dq_row_count_match(a: DataFrame, b: DataFrame, subject: str) -> DataFrame:
     return _report(counts, _result("row_count_match", subject, F.col("v"), F.col("n")))
 
 
-def dq_cross_model_ids(person: DataFrame, flat_patient: DataFrame) -> DataFrame:
-    """Ids that one model has and the other lacks."""
-    totals = {
-        "missing_in_fhir": person.agg(F.countDistinct("person_id")).scalar(),
-        "missing_in_omop": flat_patient.agg(F.countDistinct("person_id_omop")).scalar(),
-    }
-    found = {
-        "missing_in_fhir": missing_in_fhir(person, flat_patient),
-        "missing_in_omop": missing_in_omop(person, flat_patient),
-    }
-    return union_all(
-        [
-            _report(
-                df.agg(_rows().alias("v")).withColumn("n", totals[name]),
-                _result("cross_model_ids", name, F.col("v"), F.col("n")),
-            )
-            for name, df in found.items()
-        ]
+def _id_overlap(person: DataFrame, flat_patient: DataFrame) -> DataFrame:
+    """One row with the sizes of both id sets and of what each side lacks; one join."""
+    omop, fhir = distinct_ids(person, flat_patient)
+    sides = omop.withColumn("omop", F.lit(1)).join(
+        fhir.withColumn("fhir", F.lit(1)), "person_id", "full_outer"
+    )
+    return sides.agg(
+        F.count_if(F.col("fhir").isNull()).alias("missing_in_fhir"),
+        F.count_if(F.col("omop").isNull()).alias("missing_in_omop"),
+        F.count("omop").alias("omop_persons"),
+        F.count("fhir").alias("fhir_patients"),
     )
 
 
-def dq_cross_model_birthdate(person: DataFrame, flat_patient: DataFrame) -> DataFrame:
-    """Matched pairs with another birth date; no FHIR date is no mismatch, no OMOP part is."""
-    date = F.col("birth_date").cast("date")
+def _id_results() -> list[Column]:
+    sides = {"missing_in_fhir": "omop_persons", "missing_in_omop": "fhir_patients"}
+    return [_result("cross_model_ids", s, F.col(s), F.col(n)) for s, n in sides.items()]
+
+
+def _pair_counts(person: DataFrame, flat_patient: DataFrame) -> DataFrame:
+    """One row with the matched pairs and those with another (or unreadable) birth date."""
+    date = F.col("birth_date").try_cast("date")
     parts = {"year_of_birth": F.year, "month_of_birth": F.month, "day_of_birth": F.dayofmonth}
     same = reduce(
         lambda a, b: a & b, [F.col(c).eqNullSafe(part(date)) for c, part in parts.items()]
     )
-    pairs = fhir_omop_birth_join(person, flat_patient)
-    wrong = F.count_if(F.col("birth_date").isNotNull() & ~same)
-    return _one(pairs, "cross_model_birthdate", "birth_date", wrong)
+    return fhir_omop_birth_join(person, flat_patient).agg(
+        F.count_if(F.col("birth_date").isNotNull() & ~same).alias("wrong"),
+        _rows().alias("matched_records"),
+    )
+
+
+def _birthdate_result() -> Column:
+    return _result(
+        "cross_model_birthdate", "birth_date", F.col("wrong"), F.col("matched_records")
+    )
+
+
+def _size(name: str) -> Column:
+    return _result("cross_model_size", name, F.lit(0), F.col(name))
+
+
+def dq_cross_model_ids(person: DataFrame, flat_patient: DataFrame) -> DataFrame:
+    """Ids that one model has and the other lacks."""
+    return _report(_id_overlap(person, flat_patient), *_id_results())
+
+
+def dq_cross_model_birthdate(person: DataFrame, flat_patient: DataFrame) -> DataFrame:
+    """Matched pairs with another birth date; no FHIR date is no mismatch, no OMOP part is."""
+    return _report(_pair_counts(person, flat_patient), _birthdate_result())
 
 
 def cross_model_report(person: DataFrame, flat_patient: DataFrame) -> DataFrame:
     """All cross-model checks plus the sizes of both models and of the match."""
-    info = {
-        "omop_persons": person.agg(F.countDistinct("person_id").alias("n")),
-        "fhir_patients": flat_patient.agg(F.countDistinct("person_id_omop").alias("n")),
-        "matched_records": fhir_omop_birth_join(person, flat_patient).agg(_rows().alias("n")),
-    }
-    sizes = [
-        _report(df, _result("cross_model_size", name, F.lit(0), F.col("n")))
-        for name, df in info.items()
-    ]
-    return union_all(
-        [
-            dq_cross_model_ids(person, flat_patient),
-            dq_cross_model_birthdate(person, flat_patient),
-            *sizes,
-        ]
+    ids = _report(
+        _id_overlap(person, flat_patient),
+        *_id_results(),
+        _size("omop_persons"),
+        _size("fhir_patients"),
+    )
+    pairs = _report(
+        _pair_counts(person, flat_patient), _birthdate_result(), _size("matched_records")
     )
+    return ids.unionByName(pairs)
 
 
 def dq_gender_consistency(person: DataFrame, flat_patient: DataFrame) -> DataFrame:

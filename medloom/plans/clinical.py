@@ -71,7 +71,8 @@ class Clinical:
 
     @cached_property
     def fact_chronic(self) -> DataFrame:
-        return marts.fact_chronic_condition(self.condition, self.dim_patient)
+        # Only the ids of the dimension are needed: one per person.
+        return marts.fact_chronic_condition(self.condition, self.person)
 
     # Documents with their tenant.
 

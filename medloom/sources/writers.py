@@ -64,7 +64,7 @@ def _bundle_rows(resources: list[str], size: int) -> pd.DataFrame:
     return pd.DataFrame({"value": pd.Series(rows, dtype="object")})
 
 
-def write_bundle(df: DataFrame, target: str, text: str = "value", size: int = 1000) -> None:
+def write_bundle(df: DataFrame, target: str, text: str = "value", size: int = 10_000) -> None:
     """Resources -> collection Bundles, one Bundle per file and ``size`` resources at most."""
     bundles_of(df, text, size).write.option("maxRecordsPerFile", 1).mode("overwrite").text(target)
 

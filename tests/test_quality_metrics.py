@@ -44,6 +44,12 @@ def test_cross_model_edge_rows(spark):
     assert quality.dq_gender_consistency(person, flat).first().violations == 1
 
 
+def test_unreadable_birth_date_is_a_mismatch(spark):
+    person = spark.createDataFrame([(1, 0, 1980, 1, 1), (2, 0, 1980, 5, 1)], PERSON)
+    flat = spark.createDataFrame([(1, "not a date", "male"), (2, "1980-05", "male")], FLAT)
+    assert quality.dq_cross_model_birthdate(person, flat).first().violations == 1
+
+
 def test_null_rules(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
     assert _violations(quality.dq_unique(df, "k")) == {("unique", "k"): 1}

@@ -120,6 +120,10 @@ def test_age(spark, birth, dead, age):
     [
         (72.0, None, None, None, None, "72 "),
         (72.5, "mg", "t", True, "c", "72.5 mg"),
+        (12345000.0, "u", None, None, None, "12345000 u"),
+        (10000000.5, "u", None, None, None, "10000000.5 u"),
+        (0.00025, "u", None, None, None, "0.00025 u"),
+        (-20000000.0, "u", None, None, None, "-20000000 u"),
         (None, "mg", "t", True, "c", "t"),
         (None, None, None, True, "c", "Yes"),
         (None, None, None, False, "c", "No"),

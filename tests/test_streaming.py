@@ -102,3 +102,21 @@ def test_lag_percentile_of_a_hot_source(spark):
     # Position 0.95 * 2999 = 2849.05 lies between the last 94 and the first 95.
     assert got["hot"].p95_lag_seconds == 94.05
     assert got["cold"].p95_lag_seconds == 5.0
+
+
+def test_replayed_batch_writes_its_rows_once(spark, tmp_path):
+    """A batch whose commit got lost runs again and replaces what it had written."""
+    folder, table, checkpoint = tmp_path / "in", str(tmp_path / "t"), tmp_path / "c"
+    folder.mkdir()
+    (folder / "patients.ndjson").write_text(_patients(9))
+
+    def run():
+        streaming.stream_raw_ingest(
+            spark, str(folder), table, "patients", str(checkpoint)
+        ).awaitTermination()
+        return sorted(r[0] for r in spark.read.parquet(table).select(path(".id")).collect())
+
+    first = run()
+    for commit in (checkpoint / "commits").iterdir():
+        commit.unlink()
+    assert run() == first and len(first) == 9

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,3 +144,34 @@ def test_row_numbers_across_splits(spark, tmp_path, limit, monkeypatch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     for name, pairs in expected.items():
         assert {(r.n, r.source_file_row_number) for r in got if r.f == name} == pairs
+
+
+def test_random_damage_against_a_plain_parser(spark):
+    """Texts damaged at random places are accepted exactly when Python's parser accepts them."""
+    rng = random.Random(11)
+    seeds = [
+        json.dumps({"resourceType": "Patient", "n": [1, -2.5, 1e3, None, True], "t": 'q"\\ü]}'}),
+        json.dumps({"a": {"b": [{"c": []}, {}]}, "d": ""}),
+        json.dumps([{"x": 1}, "y"]),
+    ]
+    texts = set(seeds)
+    while len(texts) < 1500:
+        text = rng.choice(seeds)
+        for _ in range(rng.randint(1, 3)):
+            at = rng.randrange(len(text) + 1)
+            piece = rng.choice(['"', "}", "]", "{", "[", ",", ":", " ", "0", "1", "x", "\\", "}]", '"}', ""])
+            text = text[:at] + piece + text[at + rng.randint(0, 2) :]
+        texts.add(text)
+
+    def accepted(text):
+        try:
+            json.loads(text)
+            return True
+        except ValueError:
+            return False
+
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "value string")
+    got = df.select("value", strict_json("value").isNotNull().alias("ok")).collect()
+    wrong = [r.value for r in got if r.ok is not accepted(r.value)]
+    assert wrong == []
+    assert 50 < sum(r.ok for r in got) < len(got) - 50
