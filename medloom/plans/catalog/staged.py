@@ -55,7 +55,10 @@ _CATEGORY = """CASE WHEN o.category_code IN ('vital-signs','laboratory','imaging
 
 
 def _merged(m):
-    """Half of the patients known before, two thirds arriving again."""
+    """Patients known from a first run and arriving in a second one.
+
+    The first run knew every second patient by another key, so some keys are on one side only.
+    """
     seen = m.stg_patient.select("patient_id", "city", "state")
     key = F.col("patient_id").cast("bigint")
 
@@ -63,7 +66,6 @@ def _merged(m):
         ts = F.timestamp_add("HOUR", (key % 24).cast("int"), F.lit(day).cast("timestamp_ntz"))
         return lineage.lineage_columns(df, ts, "fhir", run, model="patient", run_id=run)
 
-    # The older copy of every second patient carries a key the new load does not have.
     old_id = F.when(key % 2 == 0, F.concat(F.lit("old-"), "patient_id")).otherwise(
         F.col("patient_id")
     )

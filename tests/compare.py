@@ -71,7 +71,8 @@ def mismatch(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     if want != got:
         only_spark = list((got - want).items())[:3]
         only_sql = list((want - got).items())[:3]
-        return f"rows {sum(got.values())} vs {sum(want.values())}; {names}\n  spark {only_spark}\n  sql   {only_sql}"
+        counts = f"rows {sum(got.values())} vs {sum(want.values())}; {names}"
+        return f"{counts}\n  spark {only_spark}\n  sql   {only_sql}"
     return None
 
 
@@ -82,7 +83,14 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     spark = build_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+        "compare",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "8g",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

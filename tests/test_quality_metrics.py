@@ -34,7 +34,14 @@ def test_cross_model_edge_rows(spark):
         [(1, 8507, 1980, None, 1), (2, 8507, 1980, 1, 1), (3, 0, 1980, 1, 1), (9, 0, 1, 1, 1)], PERSON
     )
     flat = spark.createDataFrame(
-        [(1, "1980-01-01", "male"), (2, None, "female"), (3, "1980-01-02", "other"), (None, "x", "male"), (7, None, None), (7, None, None)],
+        [
+            (1, "1980-01-01", "male"),
+            (2, None, "female"),
+            (3, "1980-01-02", "other"),
+            (None, "x", "male"),
+            (7, None, None),
+            (7, None, None),
+        ],
         FLAT,
     )
     got = _violations(quality.cross_model_report(person, flat.filter("birth_date <> 'x' OR birth_date IS NULL")))

@@ -171,11 +171,17 @@ def test_api_patient_drops_missing_id_and_keeps_null_names(docs):
 
 
 def test_to_fhir_leaves_out_absent_parts(spark):
-    schema = "encounter_id string, status string, patient_id string, period_start timestamp_ntz, period_end timestamp_ntz"
+    schema = (
+        "encounter_id string, status string, patient_id string, "
+        "period_start timestamp_ntz, period_end timestamp_ntz"
+    )
     df = spark.createDataFrame([("e", None, None, None, None)], schema)
     got = json.loads(staging.to_fhir_encounter(df).first().value)
     assert got == {"resourceType": "Encounter", "id": "e", "status": "unknown"}
-    schema = "observation_id string, status string, code string, code_display string, patient_id string, value_quantity double, value_unit string"
+    schema = (
+        "observation_id string, status string, code string, code_display string, "
+        "patient_id string, value_quantity double, value_unit string"
+    )
     df = spark.createDataFrame([("o", None, None, None, "1", 2.5, None)], schema)
     got = json.loads(staging.to_fhir_observation(df).first().value)
     assert got == {

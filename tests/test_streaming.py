@@ -56,9 +56,9 @@ def test_raw_ingest_numbers_like_batch(spark, tmp_path):
 
 
 def test_bundles(spark, tmp_path):
-    body = json.dumps(
-        {"resourceType": "Bundle", "type": "batch", "entry": [{"resource": {"resourceType": t}} for t in ("Patient", "Encounter", "Patient")]}
-    )
+    types = ("Patient", "Encounter", "Patient")
+    entries = [{"resource": {"resourceType": t}} for t in types]
+    body = json.dumps({"resourceType": "Bundle", "type": "batch", "entry": entries})
     folder = tmp_path / "requests"
     folder.mkdir()
     requests = [
