@@ -42,28 +42,31 @@ def write_ndjson(
 
 
 def bundles_of(df: DataFrame, text: str, size: int) -> DataFrame:
-    """Collection Bundles of at most ``size`` resources, cut inside each task."""
+    """Collection Bundles of at most ``size`` resources, cut inside each task.
+
+    The functions are nested so that they travel with the task: workers need not have this
+    package installed.
+    """
+
+    def rows(resources: list[str]) -> pd.DataFrame:
+        bundles = []
+        for start in range(0, len(resources), size):
+            entries = ",".join(f'{{"resource":{r}}}' for r in resources[start : start + size])
+            bundles.append(f'{{"resourceType":"Bundle","type":"collection","entry":[{entries}]}}')
+        return pd.DataFrame({"value": pd.Series(bundles, dtype="object")})
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[str] = []
         for batch in batches:
             held.extend(batch[text])
             full = len(held) - len(held) % size
-            yield _bundle_rows(held[:full], size)
+            yield rows(held[:full])
             held = held[full:]
-        yield _bundle_rows(held, size)
+        yield rows(held)
 
     return df.select(text).mapInPandas(pack, "value string")
 
 
-def _bundle_rows(resources: list[str], size: int) -> pd.DataFrame:
-    rows = []
-    for start in range(0, len(resources), size):
-        entries = ",".join(f'{{"resource":{r}}}' for r in resources[start : start + size])
-        rows.append(f'{{"resourceType":"Bundle","type":"collection","entry":[{entries}]}}')
-    return pd.DataFrame({"value": pd.Series(rows, dtype="object")})
-
-
 def write_bundle(df: DataFrame, target: str, text: str = "value", size: int = 10_000) -> None:
     """Resources -> collection Bundles, one Bundle per file and ``size`` resources at most."""
     bundles_of(df, text, size).write.option("maxRecordsPerFile", 1).mode("overwrite").text(target)
