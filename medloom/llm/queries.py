@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from medloom.llm import byte_bpe, packing, quality_rules
+from medloom.llm import byte_bpe, line_dedup, near_duplicates, packing, quality_rules
 from medloom.llm._common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -22,12 +26,19 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_packing": op3_packing,
     "op4_byte_bpe": op4_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
+    "op10_simhash": op10_simhash,
 }
 
 SQL = {
+    "op1_line_dedup": line_dedup.SQL,
     "op8_quality_rules": quality_rules.SQL,
 }
