@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from medloom.llm import byte_bpe, line_dedup, near_duplicates, packing, quality_rules
+from medloom.llm import byte_bpe, line_dedup, near_duplicates, packing, quality_classifier, quality_rules, toxicity
 from medloom.llm._common import table
 
 
@@ -22,6 +22,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -34,6 +42,8 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_packing": op3_packing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op10_simhash": op10_simhash,
 }
