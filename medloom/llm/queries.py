@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from medloom.llm import byte_bpe, line_dedup, near_duplicates, packing, quality_classifier, quality_rules, toxicity
+from medloom.llm import (
+    byte_bpe,
+    line_dedup,
+    near_duplicates,
+    packing,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    toxicity,
+)
 from medloom.llm._common import table
 
 
@@ -13,6 +22,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -40,6 +53,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_toxicity": op6_toxicity,
