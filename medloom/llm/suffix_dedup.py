@@ -13,12 +13,14 @@ places. Neighbouring strings with one anchor are a run, and a run is the unit th
 2. A bucket whose runs all have the same content identifier is repeated as a whole.
 3. In the other buckets, content identifiers that come twice are repeated as a whole; the strings
    of the other runs, and of one run of each repeated content, are compared by full identifiers.
+   Only for these do bytes travel besides the texts themselves.
 
 A key is an anchor identifier together with a content or string identifier: 128 bits.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,6 +35,9 @@ BUCKET_BYTES = 32
 # Bytes refined at once; anchors are told apart by their place in such a piece.
 PIECE = 1 << 17
 _PLACE_BITS = 20
+# Buckets with more contents to compare are dealt on in blocks of so many neighbouring strings.
+CROWDED = 128
+BLOCK = 8
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -149,10 +154,15 @@ def _runs(docs: DataFrame, length: int, bucket_bytes: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _strings(marked: DataFrame, length: int, bucket_bytes: int) -> DataFrame:
-    """``doc_id, crc, place, anchor, string, open`` of the strings of all runs to be compared."""
+def _slices(listed: DataFrame, length: int, bucket_bytes: int) -> DataFrame:
+    """``anchor, sub, doc_id, crc, start, strings, open, bytes`` of all runs to be compared.
+
+    A crowded bucket is dealt on: its strings go in blocks of ``BLOCK`` offsets to the anchor, keyed
+    by the bytes that all strings of the block share, which equal strings have in common.
+    """
     fields = pa.schema(
-        _KEY + [("place", pa.int32()), ("anchor", pa.int64()), ("string", pa.int64()), ("open", pa.bool_())]
+        [("anchor", pa.int64()), ("sub", pa.int64()), *_KEY, ("start", pa.int32()), ("strings", pa.int32())]
+        + [("open", pa.bool_()), ("bytes", pa.binary())]
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,31 +170,76 @@ def _strings(marked: DataFrame, length: int, bucket_bytes: int) -> DataFrame:
 
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for i, (packed, runs) in enumerate(zip(batch["packed"], batch["runs"])):
-                compared = [r for r in runs.as_py() if r["compare"]]
-                raw = unpack(packed.as_py())
-                for at in range(0, len(compared), 512):
-                    own = compared[at : at + 512]
-                    cuts = [raw[r["start"] : r["start"] + r["strings"] + length - 1] for r in own]
-                    _, full = identifiers(np.frombuffer(b"".join(cuts), np.uint8), length, bucket_bytes)
-                    n = np.array([r["strings"] for r in own])
-                    begin = np.cumsum([0, *map(len, cuts)])[:-1]
-                    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    strings = full[np.repeat(begin, n) + within]
-                    of = pa.array(np.full(len(within), i))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch["doc_id"].take(of), batch["crc"].take(of),
-                            pa.array((np.repeat([r["start"] for r in own], n) + within).astype(np.int32)),
-                            pa.array(np.repeat(np.array([r["anchor"] for r in own], np.int64), n)),
-                            pa.array(strings.view(np.int64)),
-                            pa.array(np.repeat([not r["whole"] for r in own], n)),
-                        ],
-                        schema=fields,
-                    )
-
-    to_compare = marked.where(F.exists("runs", lambda r: r["compare"]))
-    return to_compare.mapInArrow(run, "doc_id long, crc long, place int, anchor long, string long, open boolean")
+            rows = []
+            for doc_id, crc, packed, runs in zip(*[batch[c].to_pylist() for c in ("doc_id", "crc", "packed", "runs")]):
+                raw = unpack(packed)
+                for r in runs:
+                    start, strings, anchor = r["start"], r["strings"], r["anchor"]
+                    cut = raw[start : start + strings + length - 1]
+                    if not r["crowded"]:
+                        rows.append((anchor, 0, doc_id, crc, start, strings, not r["whole"], cut))
+                        continue
+                    for first, n, sub in _blocks(cut, strings, anchor, length, bucket_bytes):
+                        own = cut[first : first + n + length - 1]
+                        rows.append((anchor, sub, doc_id, crc, start + first, n, not r["whole"], own))
+            for at in range(0, len(rows), 10_000):
+                yield _batch(fields, *zip(*rows[at : at + 10_000]))
+
+    schema = "anchor long, sub long, doc_id long, crc long, start int, strings int, open boolean, bytes binary"
+    return listed.mapInArrow(run, schema)
+
+
+def _blocks(cut: bytes, strings: int, anchor: int, length: int, bucket_bytes: int) -> Iterator[tuple[int, int, int]]:
+    """(first string, strings, key of the shared bytes) of the blocks of a run."""
+    bucket, _ = identifiers(np.frombuffer(cut, np.uint8), length, bucket_bytes)
+    a = int(np.flatnonzero(bucket.view(np.int64) == anchor)[0])
+    for k in range((a - strings + 1) // BLOCK, a // BLOCK + 1):
+        first, last = max(a - k * BLOCK - BLOCK + 1, 0), min(a - k * BLOCK, strings - 1)
+        shared = cut[a - k * BLOCK : a - k * BLOCK - BLOCK + 1 + length]
+        key = hashlib.blake2b(shared, digest_size=8, salt=k.to_bytes(4, "little")).digest()
+        yield first, last - first + 1, int.from_bytes(key, "little", signed=True)
+
+
+def _compared(slices: DataFrame, length: int, bucket_bytes: int) -> DataFrame:
+    """``doc_id, crc, first, last``: runs of repeated strings among the compared ones."""
+    fields = pa.schema(_KEY + [("first", pa.int32()), ("last", pa.int32())])
+
+    def found(rows: list[dict], buckets: list[int]) -> pa.RecordBatch:
+        cuts = [r["bytes"] for r in rows]
+        _, full = identifiers(np.frombuffer(b"".join(cuts), np.uint8), length, bucket_bytes)
+        n = np.array([r["strings"] for r in rows])
+        begin = np.cumsum([0, *map(len, cuts)])[:-1]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        row = np.repeat(np.arange(len(rows)), n)
+        ids, bucket = full[begin[row] + within], np.array(buckets)[row]
+        order = np.lexsort((ids, bucket))
+        same = (ids[order][1:] == ids[order][:-1]) & (bucket[order][1:] == bucket[order][:-1])
+        twice = np.zeros(len(ids), bool)
+        twice[order] = np.append(same, False) | np.insert(same, 0, False)
+        hit = np.flatnonzero(twice & np.array([r["open"] for r in rows])[row])
+        first = np.flatnonzero(np.append(True, (np.diff(hit) != 1) | (np.diff(row[hit]) != 0))[: len(hit)])
+        last = np.append(first[1:], len(hit)) - 1 if len(hit) else first
+        at = np.array([r["start"] for r in rows])[row] + within
+        of = [rows[k] for k in row[hit[first]]]
+        return _batch(fields, [r["doc_id"] for r in of], [r["crc"] for r in of], at[hit[first]], at[hit[last]])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, buckets, size, key, number = [], [], 0, None, 0
+        for batch in batches:
+            for r in batch.to_pylist():
+                if (r["anchor"], r["sub"]) != key:
+                    if size >= PIECE:
+                        yield found(held, buckets)
+                        held, buckets, size = [], [], 0
+                    key, number = (r["anchor"], r["sub"]), number + 1
+                held.append(r)
+                buckets.append(number)
+                size += len(r["bytes"])
+        if held:
+            yield found(held, buckets)
+
+    dealt = slices.repartition("anchor", "sub").sortWithinPartitions("anchor", "sub")
+    return dealt.mapInArrow(run, "doc_id long, crc long, first int, last int")
 
 
 def _kept(marked: DataFrame, length: int) -> DataFrame:
@@ -199,11 +254,10 @@ def _kept(marked: DataFrame, length: int) -> DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             rows = []
-            for packed, runs, places in zip(batch["packed"], batch["runs"], batch["places"]):
-                raw = unpack(packed.as_py())
-                whole = [r for r in runs.as_py() or [] if r["whole"]]
-                start = np.array([r["start"] for r in whole] + (places.as_py() or []), np.int64)
-                end = np.array([r["start"] + r["strings"] - 1 for r in whole] + (places.as_py() or []), np.int64) + length
+            for packed, runs in zip(batch["packed"], batch["runs"]):
+                raw, runs = unpack(packed.as_py()), runs.as_py() or []
+                start = np.array([r["first"] for r in runs], np.int64)
+                end = np.array([r["last"] for r in runs], np.int64) + length
                 if not len(start):
                     rows.append((len(raw), 0, 0, raw))
                     continue
@@ -232,11 +286,11 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, crc long, packed binary")
 
 
-def _by_document(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left join by document; rows that share an id are told apart by the checksum of the text."""
+def _by_document(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join by document; rows that share an id are told apart by the checksum of the text."""
     right = right.withColumnsRenamed({"doc_id": "r_doc_id", "crc": "r_crc"})
     same: Column = F.col("doc_id").eqNullSafe(F.col("r_doc_id")) & (F.col("crc") == F.col("r_crc"))
-    return left.join(right, same, "left").drop("r_doc_id", "r_crc")
+    return left.join(right, same, how).drop("r_doc_id", "r_crc")
 
 
 def dedup_strings(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES, **cols: str) -> DataFrame:
@@ -264,23 +318,27 @@ def dedup_strings(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUC
     mixed = found.where("mixed")
     place = F.struct("doc_id", "crc", "start")
     contents = mixed.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(place).alias("one"))
+    contents = written(contents, "string-contents")
+    crowded = contents.groupBy("anchor").count().where(F.col("count") > CROWDED)
+    crowded = crowded.select("anchor", F.lit(True).alias("crowded"))
     judged = mixed.join(contents, ["anchor", "content"]).select(
         "doc_id", "crc", "start", "strings", "anchor",
         (F.col("n") > 1).alias("whole"),
         ((F.col("n") == 1) | place.eqNullSafe(F.col("one"))).alias("compare"),
     )
-    plain = found.where("NOT mixed").select(
-        "doc_id", "crc", "start", "strings", "anchor", F.lit(True).alias("whole"), F.lit(False).alias("compare")
+    judged = written(judged, "string-judged")
+    compared = judged.where("compare").join(crowded, "anchor", "left").withColumn("crowded", F.col("crowded").isNotNull())
+    listed = compared.groupBy("doc_id", "crc").agg(
+        F.collect_list(F.struct("start", "strings", "anchor", "whole", "crowded")).alias("runs")
     )
-    own = F.collect_list(F.struct("start", "strings", "anchor", "whole", "compare")).alias("runs")
-    marked = _by_document(_packed(d), plain.union(judged).groupBy("doc_id", "crc").agg(own))
-    marked = written(marked, "string-marks")
-
-    strings = written(_strings(marked, length, bucket_bytes), "strings")
-    twice = strings.groupBy("anchor", "string").count().where("count > 1").select("anchor", "string")
-    places = strings.where("open").join(twice, ["anchor", "string"]).groupBy("doc_id", "crc")
-    places = places.agg(F.collect_list("place").alias("places"))
-    return _kept(_by_document(marked, places), length)
+    slices = _slices(_by_document(_packed(d), listed, "inner"), length, bucket_bytes)
+    partly = written(_compared(slices, length, bucket_bytes), "string-partly")
+
+    last = (F.col("start") + F.col("strings") - 1).alias("last")
+    whole = found.where("NOT mixed").unionByName(judged.where("whole"), allowMissingColumns=True)
+    removed = whole.select("doc_id", "crc", F.col("start").alias("first"), last).union(partly)
+    removed = removed.groupBy("doc_id", "crc").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    return _kept(_by_document(_packed(d), removed, "left"), length)
 
 
 def digests(docs: DataFrame, **cols: str) -> DataFrame:
