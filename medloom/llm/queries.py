@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medloom.llm import (
     byte_bpe,
+    exact_topk,
     line_dedup,
     near_duplicates,
     packing,
@@ -47,6 +49,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = F.col("vec_id") % exact_topk.QUERY_EVERY == 0
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), every)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -59,10 +66,12 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
+    "op9_exact_topk": op9_exact_topk,
     "op10_simhash": op10_simhash,
 }
 
 SQL = {
     "op1_line_dedup": line_dedup.SQL,
     "op8_quality_rules": quality_rules.SQL,
+    "op9_exact_topk": exact_topk.SQL,
 }
