@@ -10,6 +10,7 @@ from medloom.llm import (
     byte_bpe,
     exact_topk,
     line_dedup,
+    lm_scoring,
     near_duplicates,
     packing,
     quality_classifier,
@@ -37,6 +38,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_toxicity": op6_toxicity,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
