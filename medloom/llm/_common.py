@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only ``doc_id`` and ``text`` (null: empty), so that no other column of the input can clash."""
+def id_and_text(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """Only ``doc_id`` and ``text`` (null: empty), so that no other column of the input can clash.
+
+    Columns to carry along come as one struct ``carried``, whatever their names.
+    """
     return docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *([F.struct(*carry).alias("carried")] if carry else []),
     )
 
 
+def carried_type(df: DataFrame) -> str:
+    """The carried column as the end of a schema text; empty if there is none."""
+    return f", carried {df.schema['carried'].dataType.simpleString()}" if "carried" in df.columns else ""
+
+
 def held_in_row(df: DataFrame, **made: Column) -> DataFrame:
     """Adds columns that are computed once per row.
 

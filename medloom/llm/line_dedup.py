@@ -10,14 +10,14 @@ deleted, so taking a document out leaves the index as if it had never come.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.llm._common import BLANK_CHARS, id_and_text, written
+from medloom.llm._common import BLANK_CHARS, carried_type, id_and_text, written
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -237,20 +237,20 @@ def _changed(filters: DataFrame | None, changes: DataFrame, shards: int) -> Data
     return old.groupBy("shard").cogroup(keyed.groupBy("shard")).applyInArrow(made, schema)
 
 
-def dedup_lines(docs: DataFrame, index: LineIndex, **cols: str) -> DataFrame:
+def dedup_lines(docs: DataFrame, index: LineIndex, carry: Sequence[str] = (), **cols: str) -> DataFrame:
     """``doc_id, text, n_lines, n_dropped``: each document without the lines the index drops.
 
     Lines are cut at \\n; null and empty texts are one empty line. A line shorter than the index's
     ``min_chars`` always stays. All lines of a key in one document stay or go together; the
     largest id that holds a key keeps them, and a null id counts as smaller than any other (as the
-    keeper if all are null). Rows that repeat an id count as one document. Other columns are not
-    read; no input gives no rows.
+    keeper if all are null). Rows that repeat an id count as one document. Of the other columns
+    those named in ``carry`` come along in the struct ``carried``; no input gives no rows.
     """
-    d = id_and_text(docs, **cols)
+    d = id_and_text(docs, carry=carry, **cols)
     gone = index.dropped().groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_list("key").alias("gone"))
-    joined = d.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select("doc_id", "text", "gone")
-    schema = "doc_id long, text string, n_lines long, n_dropped long"
-    fields = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())])
+    joined = d.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select(*d.columns, "gone")
+    schema = "doc_id long, text string, n_lines long, n_dropped long" + carried_type(d)
+    names, more = ["doc_id", "text", "n_lines", "n_dropped", *d.columns[2:]], d.columns[2:]
     min_chars = index.min_chars
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,8 +266,8 @@ def dedup_lines(docs: DataFrame, index: LineIndex, **cols: str) -> DataFrame:
                 texts.append(text)
                 counts.append(len(lines))
                 dropped.append(len(lines) - len(kept))
-            columns = [batch["doc_id"], pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, schema=fields)
+            columns = [pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns, *(batch[c] for c in more)], names=names)
 
     return joined.mapInArrow(run, schema)
 

@@ -21,14 +21,14 @@ A key is an anchor identifier together with a content or string identifier: 128
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medloom.llm._common import id_and_text, written
+from medloom.llm._common import carried_type, id_and_text, written
 
 LENGTH = 200
 BUCKET_BYTES = 32
@@ -242,11 +242,11 @@ def _compared(slices: DataFrame, length: int, bucket_bytes: int) -> DataFrame:
     return dealt.mapInArrow(run, "doc_id long, crc long, first int, last int")
 
 
-def _kept(marked: DataFrame, length: int) -> DataFrame:
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    fields = pa.schema(
-        [("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_bytes", "n_removed", "n_spans")), ("kept", pa.binary())]
-    )
+def _kept(marked: DataFrame, length: int, as_text: bool) -> DataFrame:
+    more = [c for c in marked.columns if c == "carried"]
+    schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}"
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *more]
+    kinds = [pa.int64()] * 3 + [pa.string() if as_text else pa.binary()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -258,32 +258,35 @@ def _kept(marked: DataFrame, length: int) -> DataFrame:
                 raw, runs = unpack(packed.as_py()), runs.as_py() or []
                 start = np.array([r["first"] for r in runs], np.int64)
                 end = np.array([r["last"] for r in runs], np.int64) + length
-                if not len(start):
-                    rows.append((len(raw), 0, 0, raw))
-                    continue
-                steps = np.bincount(start, minlength=len(raw) + 1) - np.bincount(end, minlength=len(raw) + 1)
-                gone = np.cumsum(steps)[:-1] > 0
-                spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                rows.append((len(raw), int(gone.sum()), spans, np.frombuffer(raw, np.uint8)[~gone].tobytes()))
+                kept, removed, spans = raw, 0, 0
+                if len(start):
+                    steps = np.bincount(start, minlength=len(raw) + 1) - np.bincount(end, minlength=len(raw) + 1)
+                    gone = np.cumsum(steps)[:-1] > 0
+                    removed = int(gone.sum())
+                    spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+                    kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+                rows.append((len(raw), removed, spans, kept.decode(errors="ignore") if as_text else kept))
             if rows:
-                yield _batch(fields, batch["doc_id"].to_pylist(), *zip(*rows))
+                made = [pa.array(list(c), kind) for c, kind in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays([batch["doc_id"], *made, *(batch[c] for c in more)], names=names)
 
-    return marked.mapInArrow(run, schema)
+    return marked.mapInArrow(run, schema + carried_type(marked))
 
 
 def _packed(docs: DataFrame) -> DataFrame:
     """Texts compressed for the shuffle."""
-    fields = pa.schema(_KEY + [("packed", pa.binary())])
+    more = [c for c in docs.columns if c == "carried"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            packed = [pack(t.as_buffer().to_pybytes()) for t in batch["text"]]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["crc"], pa.array(packed, pa.binary())], schema=fields)
+            packed = pa.array([pack(t.as_buffer().to_pybytes()) for t in batch["text"]], pa.binary())
+            columns = [batch["doc_id"], batch["crc"], packed, *(batch[c] for c in more)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "crc", "packed", *more])
 
-    return docs.mapInArrow(run, "doc_id long, crc long, packed binary")
+    return docs.mapInArrow(run, "doc_id long, crc long, packed binary" + carried_type(docs))
 
 
 def _by_document(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -293,18 +296,27 @@ def _by_document(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(right, same, how).drop("r_doc_id", "r_crc")
 
 
-def dedup_strings(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES, **cols: str) -> DataFrame:
+def dedup_strings(
+    docs: DataFrame,
+    length: int = LENGTH,
+    bucket_bytes: int = BUCKET_BYTES,
+    carry: Sequence[str] = (),
+    as_text: bool = False,
+    **cols: str,
+) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary): a row per input row.
 
     A text (null: empty) is its UTF-8 bytes. Each byte covered by a string of ``length`` bytes that
     also starts anywhere else, in the same or another row, is removed; strings never cross texts
-    and are judged on the input. ``kept`` may cut characters. Texts shorter than ``length`` stay
-    whole; rows that repeat a row count as further places, so both lose what they share; null ids
-    stay null; other columns are not read; no input gives no rows.
+    and are judged on the input. ``kept`` may cut characters; with ``as_text`` it is a string without
+    the cut ones. Texts shorter than ``length`` stay whole; rows that repeat a row count as further
+    places, so both lose what they share; null ids stay null; of the other columns those named in
+    ``carry`` come along in the struct ``carried``; no input gives no rows.
     """
     if bucket_bytes & (bucket_bytes - 1) or not bucket_bytes < length:
         raise ValueError("bucket_bytes is a power of two below length")
-    d = id_and_text(docs, **cols).withColumn("crc", F.crc32(F.col("text").cast("binary")))
+    whole_rows = id_and_text(docs, carry=carry, **cols).withColumn("crc", F.crc32(F.col("text").cast("binary")))
+    d = whole_rows.select("doc_id", "text", "crc")
     runs = _runs(d, length, bucket_bytes)
 
     # 1 and 2: buckets with more than one run. Counted before they travel, so a hot one is one row.
@@ -338,7 +350,7 @@ def dedup_strings(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUC
     whole = found.where("NOT mixed").unionByName(judged.where("whole"), allowMissingColumns=True)
     removed = whole.select("doc_id", "crc", F.col("start").alias("first"), last).union(partly)
     removed = removed.groupBy("doc_id", "crc").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    return _kept(_by_document(_packed(d), removed, "left"), length)
+    return _kept(_by_document(_packed(whole_rows), removed, "left"), length, as_text)
 
 
 def digests(docs: DataFrame, **cols: str) -> DataFrame:
