@@ -37,8 +37,8 @@ FIRST_PIVOTS = 2
 SLACK = 1e-9
 
 
-def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, v``: vectors as integers floor(SCALE * x); those that hold no number are left out."""
+def whole_vectors(vectors: DataFrame, is_query: Column, id_col: str, vector_col: str) -> DataFrame:
+    """``vec_id, v, asks``: vectors as integers floor(SCALE * x); unusable ones are left out."""
     v = F.col(vector_col).cast("array<double>")
     usable = (
         F.col(id_col).isNotNull()
@@ -47,7 +47,8 @@ def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < MOST_COMPONENT))
     )
     whole = F.transform(v, lambda x: F.floor(x * SCALE).cast("bigint"))
-    return vectors.where(usable).select(F.col(id_col).cast("bigint").alias("vec_id"), whole.alias("v"))
+    asks = F.coalesce(is_query.cast("boolean"), F.lit(False)).alias("asks")
+    return vectors.where(usable).select(F.col(id_col).cast("bigint").alias("vec_id"), whole.alias("v"), asks)
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -115,7 +116,8 @@ def top_k(
     query they count once, with the smallest vector, and leave out every row of their own id. Other
     columns are not read.
     """
-    whole = written(whole_vectors(vectors, id_col, vector_col), "vectors")
+    asked = written(whole_vectors(vectors, is_query, id_col, vector_col), "vectors")
+    whole = asked.select("vec_id", "v")
     most = whole.agg(F.max(F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x * x))).first()[0]
     schema = "query_id long, rank int, vec_id long, score long"
     if most is None:
@@ -143,7 +145,7 @@ def top_k(
     )
     index = written(index, "pivot-index")
 
-    queries = whole.where(is_query.cast("boolean")).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
+    queries = asked.where("asks").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
     queries = written(queries, "queries")
     groups = max(1, -(-queries.count() // GROUP))
     rings = _Rings(sizes, centres, most, top)

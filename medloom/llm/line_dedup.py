@@ -161,9 +161,10 @@ class LineIndex:
         refs = written(refs, "line-refs")
         counts = written(_counted(refs), "line-counts")
         was, now = (t.where(F.col("n_docs") >= self.min_docs).select("key") for t in (self.counts, counts))
-        enters = now.join(was, "key", "left_anti").select("key", F.lit(True).alias("enters"))
-        leaves = was.join(now, "key", "left_anti").select("key", F.lit(False).alias("enters"))
-        filters = written(_changed(self.filters, enters.union(leaves), self.shards), "line-filters")
+        both = now.withColumn("now", F.lit(True)).join(was.withColumn("was", F.lit(True)), "key", "full")
+        # Null for keys that stay: a filter that has grown full is laid out anew from these as well.
+        enters = F.when(F.col("was").isNull(), F.lit(True)).when(F.col("now").isNull(), F.lit(False))
+        filters = written(_changed(self.filters, both.select("key", enters.alias("enters")), self.shards), "line-filters")
         return LineIndex(refs, counts, filters, self.shards, self.min_chars, self.min_docs)
 
     def dropped(self) -> DataFrame:
@@ -207,7 +208,8 @@ def _counted(refs: DataFrame) -> DataFrame:
 
 
 def _changed(filters: DataFrame | None, changes: DataFrame, shards: int) -> DataFrame:
-    """Filters after keys entered or left, one row per shard. Keys lie evenly over the shards."""
+    """Filters after keys entered (true), left (false) or stayed (null), one row per shard. Keys lie
+    evenly over the shards."""
     sharding = pa.schema([("shard", pa.int64()), ("hash", pa.int64()), ("enters", pa.bool_())])
 
     def shard_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,15 +222,16 @@ def _changed(filters: DataFrame | None, changes: DataFrame, shards: int) -> Data
 
     def made(key: tuple, old: pa.Table, new: pa.Table) -> pa.Table:
         hashes = new["hash"].to_numpy().view(np.uint64)
-        enters = new["enters"].to_numpy(zero_copy_only=False).astype(bool)
-        n = (old["n_keys"][0].as_py() if len(old) else 0) + int(enters.sum()) - int((~enters).sum())
+        enters = np.array([-1 if x is None else int(x) for x in new["enters"].to_pylist()])
+        n = int((enters != 0).sum())
+        cuckoo = None
         if len(old):
             cuckoo = CuckooFilter.from_bytes(old["filter"][0].as_py())
-            cuckoo.delete(hashes[~enters])
-            if not cuckoo.insert(hashes[enters]):
-                raise OverflowError("a shard's filter is full: build the index anew")
-        else:
-            cuckoo = CuckooFilter.holding(hashes[enters])
+            cuckoo.delete(hashes[enters == 0])
+            if not cuckoo.insert(hashes[enters == 1]):
+                cuckoo = None
+        if cuckoo is None:
+            cuckoo = CuckooFilter.holding(hashes[enters != 0])
         return pa.table({"shard": [key[0].as_py()], "n_keys": [n], "filter": [cuckoo.to_bytes()]})
 
     schema = "shard long, n_keys long, filter binary"
