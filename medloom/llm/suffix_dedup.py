@@ -323,7 +323,8 @@ def dedup_strings(
     buckets = runs.groupBy("anchor").agg(
         F.count("*").alias("n"), (F.min("content") != F.max("content")).alias("mixed")
     )
-    repeated = buckets.where("n > 1").select("anchor", "mixed")
+    # Written, so that the join shuffles both sides and a hot bucket can be split at run time.
+    repeated = written(buckets.where("n > 1").select("anchor", "mixed"), "string-buckets")
     found = written(runs.join(repeated, "anchor"), "string-runs")
 
     # 3: content within mixed buckets.
@@ -332,7 +333,7 @@ def dedup_strings(
     contents = mixed.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(place).alias("one"))
     contents = written(contents, "string-contents")
     crowded = contents.groupBy("anchor").count().where(F.col("count") > CROWDED)
-    crowded = crowded.select("anchor", F.lit(True).alias("crowded"))
+    crowded = written(crowded.select("anchor", F.lit(True).alias("crowded")), "string-crowded")
     judged = mixed.join(contents, ["anchor", "content"]).select(
         "doc_id", "crc", "start", "strings", "anchor",
         (F.col("n") > 1).alias("whole"),
