@@ -88,7 +88,8 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     if radius > RADIUS:
         raise ValueError(f"four blocks find links of up to {RADIUS} bits")
     keyed = prints.select("fingerprint", F.inline(F.array(*[_block(b) for b in range(4)])))
-    crowded = keyed.groupBy("shard").count().where(F.col("count") > SHARD_ROWS)
+    # Written (here and below), so that joins shuffle both sides and hot keys can be split.
+    crowded = written(keyed.groupBy("shard").count().where(F.col("count") > SHARD_ROWS), "crowded")
     finer = [F.shiftrightunsigned("others", 12 * k).bitwiseAND(0xFFF) + (k + 1) * 4096 for k in range(4)]
     whole = F.array(F.lit(0).cast("bigint"))
     dealt = keyed.join(crowded, "shard", "left").select(
@@ -140,10 +141,10 @@ def components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         handed = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = written(handed.union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -165,8 +166,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     roots = components(links(nodes.select("fingerprint"), radius)).withColumnRenamed("u", "fingerprint")
     rooted = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     rooted = written(rooted, "rooted")
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fingerprint", "component_id")
+    least = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
+    named = written(rooted.join(least, "root").select("fingerprint", "component_id"), "named")
     return prints.join(named, "fingerprint").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
