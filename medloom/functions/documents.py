@@ -58,9 +58,16 @@ def is_json_object(text: str | Column) -> Column:
     return F.ltrim(text, F.lit(_JSON_SPACE)).startswith("{")
 
 
+# What Python's ``str.strip`` takes for white space.
+_TEXT_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def is_blank(text: str | Column) -> Column:
     text = F.col(text) if isinstance(text, str) else text
-    return F.length(F.trim(text, F.lit(_JSON_SPACE + "\f\u000b"))) == 0
+    return F.length(F.trim(text, F.lit(_TEXT_SPACE))) == 0
 
 
 def with_default_meta(text: Column, doc: Column) -> Column:

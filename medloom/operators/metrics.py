@@ -312,8 +312,10 @@ def dataset_hash(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Sums 52 bits of the md5 of each row, so equal rows add up instead of cancelling out and
     the result depends neither on row order nor on partitioning.
     """
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-    part = F.conv(F.md5(F.concat_ws("|", *cells)).substr(1, 13), 16, 10).cast("decimal(20,0)")
+    # Each cell with its length before it, so that no two rows give one text; null has none.
+    text = [F.col(c).cast("string") for c in columns]
+    cells = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]
+    part = F.conv(F.md5(F.concat(*cells)).substr(1, 13), 16, 10).cast("decimal(20,0)")
     return df.agg(
         _rows().alias("row_count"),
         F.coalesce(F.sum(part), F.lit(0)).cast("string").alias("content_hash"),

@@ -364,7 +364,10 @@ def expected_outputs(manifest: DataFrame, names: Sequence[str]) -> DataFrame:
         F.explode(
             F.array(
                 *[
-                    F.when(F.col("path").contains(f"/{n}") & (F.col("length") > 0), F.lit(n))
+                    F.when(
+                        F.concat("path", F.lit("/")).contains(f"/{n}/") & (F.col("length") > 0),
+                        F.lit(n),
+                    )
                     for n in names
                 ]
             )

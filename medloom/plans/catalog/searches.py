@@ -46,8 +46,8 @@ def get_by_id(resource: str, id_: str):
 def get_observation(m):
     """Asks for the smallest id there is."""
     raw = m.raw("observations")
-    smallest = raw.agg(F.min(path(".id"))).scalar()
-    return raw.filter(path(".id") == smallest).limit(1).select(
+    smallest = raw.agg(F.min(path(".id"))).first()[0]
+    return search.get_by_id(raw, smallest).select(
         path(".id").alias("id"), path(".status").alias("status"), path(".issued").alias("issued")
     )
 

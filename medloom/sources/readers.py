@@ -6,7 +6,7 @@ import os
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
@@ -144,30 +144,48 @@ def _whole_files(
     return text.select("value", F.col("_metadata.file_path").alias("source_file"))
 
 
+# Cells that stand for a missing value, as pandas reads them.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+BROKEN = "_corrupt_record"
+
+
 def read_omop_csv(
-    spark: SparkSession, path_: str, table: str
+    spark: SparkSession, path_: str, table: str, multi_line: bool = True
 ) -> tuple[DataFrame, dict[str, int]]:
     """CSV -> typed OMOP table, plus the number of values that did not fit per column.
 
-    As in pandas, a column with any unfit value keeps its text; unknown columns are kept.
+    Quotes may hold commas, line ends and doubled quotes. As in pandas, a column with any unfit
+    value keeps its text, the usual markers are missing values, and unknown columns are kept.
+    Records with too many or too few cells are counted under ``_corrupt_record``; what they hold
+    is kept. A quoted line end keeps a file from being split: with ``multi_line=False`` files are
+    split over tasks, and the read fails on a record that does not fit its header.
     """
-    raw = spark.read.option("header", "true").csv(path_)
+    dialect = {"header": "true", "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
+    # A record is whole or broken whatever columns are asked for.
+    dialect |= {"multiLine": str(multi_line).lower(), "columnPruning": "false"}
+    names = spark.read.options(**dialect).csv(path_).columns
+    # A name is quoted in a schema text; all cells are read as text.
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, BROKEN])
+    mode = "PERMISSIVE" if multi_line else "FAILFAST"
+    read = spark.read.options(**dialect, mode=mode, columnNameOfCorruptRecord=BROKEN).schema(schema).csv(path_)
+    quoted = {n: f"`{n.replace('`', '``')}`" for n in names}
+    raw = read.select(
+        *[F.when(~F.col(q).isin(*MISSING), F.col(q)).alias(n) for n, q in quoted.items()], BROKEN
+    )
     types = OMOP_SCHEMAS.get(table, {})
-    known = [c for c in raw.columns if c in types]
-    fits = {c: _as_type(F.col(f"`{c}`"), types[c]) for c in known}
-    failed: dict[str, int] = {}
+    known = [c for c in names if c in types]
+    fits = {c: _as_type(F.col(quoted[c]), types[c]) for c in known}
     cast_columns = [c for c in known if types[c] != "string"]
-    if cast_columns:
-        counts = raw.agg(
-            *[
-                F.count_if(F.col(f"`{c}`").isNotNull() & fits[c].isNull()).alias(c)
-                for c in cast_columns
-            ]
-        ).first()
-        failed = {c: counts[c] for c in cast_columns if counts[c]}
-    columns = [
-        fits[c].alias(c) if c in fits and c not in failed else F.col(f"`{c}`") for c in raw.columns
-    ]
+    counts = raw.agg(
+        # Spark does not answer for the broken records alone.
+        F.count_if(F.col(BROKEN).isNotNull() | F.col(quoted[names[0]]).eqNullSafe(BROKEN)).alias(BROKEN),
+        *[F.count_if(F.col(quoted[c]).isNotNull() & fits[c].isNull()).alias(c) for c in cast_columns],
+    ).first()
+    failed = {c: counts[c] for c in [*cast_columns, BROKEN] if counts[c]}
+    columns = [fits[c].alias(c) if c in fits and c not in failed else F.col(quoted[c]) for c in names]
     return raw.select(*columns), failed
 
 
@@ -193,11 +211,11 @@ def convert_omop_dir(spark: SparkSession, in_dir: str, out_dir: str) -> DataFram
         target = os.path.join(out_dir, f"{table}.parquet")
         try:
             df, failed = read_omop_csv(spark, os.path.join(in_dir, name), table)
-            df.write.mode("overwrite").parquet(target)
-            rows = spark.read.parquet(target).count()
-            report.append((table, rows, target, sorted(failed), None))
+            seen = Observation()
+            df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
+            report.append((table, seen.get["rows"], target, sorted(failed), None))
         except Exception as error:  # the next table must still be converted
-            report.append((table, None, None, [], str(error)))
+            report.append((table, None, None, [], f"{type(error).__name__}: {error}"))
     schema = "table string, rows bigint, output string, unfit_columns array<string>, error string"
     return spark.createDataFrame(report, schema)
 

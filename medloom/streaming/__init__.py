@@ -7,6 +7,8 @@ from medloom.streaming.monitoring import (
     ingest_lag,
     ingest_rate,
     job_latest_status,
+    late_rows,
+    latest_rates,
     stream_ingest_rate,
     stream_job_status,
 )
@@ -15,6 +17,8 @@ __all__ = [
     "ingest_lag",
     "ingest_rate",
     "job_latest_status",
+    "late_rows",
+    "latest_rates",
     "stream_bundle_ingest",
     "stream_ingest_rate",
     "stream_job_status",

@@ -1,9 +1,10 @@
 """Landed files as streams.
 
 Each micro-batch is a bounded list of new files, handed to the batch readers and operators,
-so stream and batch give the same rows. All outputs of a micro-batch go under its own
-``batch_id`` folder and replace what an interrupted attempt left there: a replay after a
-lost driver or executor writes the same rows once.
+so stream and batch give the same rows. All outputs of a micro-batch go under the folder of
+its query and batch (``run=<query id>/batch_id=<n>``) and replace what an interrupted attempt
+left there: a replay after a lost driver or executor writes the same rows once, and another
+query, or the same one with a new checkpoint, adds to a target without touching earlier data.
 """
 
 from __future__ import annotations
@@ -22,6 +23,14 @@ from medloom.sources.readers import BINARY_FILE_SCHEMA, read_ndjson_lines, read_
 from medloom.sources.writers import write_ndjson, write_raw_table
 
 MAX_FILES = 1000
+# All there is, then stop. ``{"processingTime": "1 minute"}`` keeps a stream running.
+ONCE = {"availableNow": True}
+
+
+def batch_folder(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """Where a micro-batch writes below a target. The query's id is the checkpoint's own."""
+    run = spark.read.json(os.path.join(checkpoint, "metadata")).select("id").first()[0]
+    return os.path.join(f"run={run}", f"batch_id={batch_id}")
 
 REQUEST_SCHEMA = (
     "request_id string, organization_id string, requested_at timestamp_ntz, body string"
@@ -42,18 +51,18 @@ def _new_files(spark: SparkSession, folder: str, glob: str, max_files: int) -> D
 
 
 def _for_each_batch_of_files(
-    files: DataFrame, checkpoint: str, handle: Callable[[list[str], int], None]
+    files: DataFrame, checkpoint: str, trigger: dict, handle: Callable[[list[str], str], None]
 ) -> StreamingQuery:
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         # At most maxFilesPerTrigger names.
         paths = [row.path for row in batch.collect()]
         if paths:
-            handle(paths, batch_id)
+            handle(paths, batch_folder(batch.sparkSession, checkpoint, batch_id))
 
     return (
         files.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -65,18 +74,18 @@ def stream_validate_landing(
     checkpoint: str,
     glob: str = "*.ndjson",
     max_files: int = MAX_FILES,
+    trigger: dict = ONCE,
 ) -> StreamingQuery:
     """New NDJSON files -> ``processed/``; a file with a bad line -> ``quarantine/``."""
 
-    def handle(paths: list[str], batch_id: int) -> None:
+    def handle(paths: list[str], part: str) -> None:
         checked = validate_ndjson(read_ndjson_lines(spark, paths))
         valid, failed = split_valid_quarantine_files(checked)
-        part = f"batch_id={batch_id}"
         write_ndjson(valid, os.path.join(out, "processed", part), mode="overwrite")
         failed.write.mode("overwrite").json(os.path.join(out, "quarantine", part))
 
     files = _new_files(spark, landing, glob, max_files)
-    return _for_each_batch_of_files(files, checkpoint, handle)
+    return _for_each_batch_of_files(files, checkpoint, trigger, handle)
 
 
 def stream_raw_ingest(
@@ -88,15 +97,16 @@ def stream_raw_ingest(
     glob: str = "*",
     name_pattern: str | None = None,
     max_files: int = MAX_FILES,
+    trigger: dict = ONCE,
 ) -> StreamingQuery:
     """Every processed file once into the raw table of its resource."""
 
-    def handle(paths: list[str], batch_id: int) -> None:
+    def handle(paths: list[str], part: str) -> None:
         raw = read_ndjson_raw(spark, paths, resource, name_pattern)
-        write_raw_table(raw, os.path.join(table, f"batch_id={batch_id}"), mode="overwrite")
+        write_raw_table(raw, os.path.join(table, part), mode="overwrite")
 
     files = _new_files(spark, processed, glob, max_files)
-    return _for_each_batch_of_files(files, checkpoint, handle)
+    return _for_each_batch_of_files(files, checkpoint, trigger, handle)
 
 
 def bundle_resources(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -124,7 +134,12 @@ def bundle_resources(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stream_bundle_ingest(
-    spark: SparkSession, requests_dir: str, out: str, checkpoint: str, max_files: int = MAX_FILES
+    spark: SparkSession,
+    requests_dir: str,
+    out: str,
+    checkpoint: str,
+    max_files: int = MAX_FILES,
+    trigger: dict = ONCE,
 ) -> StreamingQuery:
     """Queued bundle requests (JSON lines) -> raw resources per type; rejects apart.
 
@@ -140,7 +155,7 @@ def stream_bundle_ingest(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         resources, dead = bundle_resources(batch)
-        part = f"batch_id={batch_id}"
+        part = batch_folder(batch.sparkSession, checkpoint, batch_id)
         resources.sortWithinPartitions(
             "resource_type", "organization_id", "requested_at", "entry_position"
         ).write.mode("overwrite").partitionBy("resource_type").parquet(
@@ -151,6 +166,6 @@ def stream_bundle_ingest(
     return (
         requests.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from medloom.streaming.landing import ONCE, batch_folder
+
 # Job states from first to last; decides between equal times.
 JOB_STATES = ("accepted", "processing", "completed", "failed")
 
@@ -31,20 +33,42 @@ def ingest_rate(
 
 
 def stream_ingest_rate(
-    stream: DataFrame, ts: str, out: str, checkpoint: str, **kwargs
+    stream: DataFrame, ts: str, out: str, checkpoint: str, trigger: dict = ONCE, **kwargs
 ) -> StreamingQuery:
-    """Closed windows, appended once each."""
+    """Windows that a micro-batch has changed, open ones too; ``latest_rates`` over ``out`` has
+    each window once. ``late_rows`` counts what came after its window was closed."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        part = batch_folder(batch.sparkSession, checkpoint, batch_id)
+        batch.write.mode("overwrite").parquet(os.path.join(out, part))
+
     return (
         ingest_rate(stream, ts, **kwargs)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
+        .writeStream.outputMode("update")
+        .foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
 
+def latest_rates(df: DataFrame, seconds: int = 300) -> DataFrame:
+    """Each window once, from what ``stream_ingest_rate`` has written: within a query the last
+    count, over several queries on one target (each has its own input) the sum."""
+    per_query = df.groupBy("run", "window_start").agg(F.max("records").alias("records"))
+    return (
+        per_query.groupBy("window_start")
+        .agg(F.sum("records").alias("records"))
+        .withColumn("records_per_second", F.round(F.col("records") / seconds, 6))
+    )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows of the recent micro-batches that came too late for the watermark."""
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    return sum(s["numRowsDroppedByWatermark"] for s in states)
+
+
 def ingest_lag(df: DataFrame, event_ts: str, ingest_ts: str, *by: str) -> DataFrame:
     """Average, largest and 95th percentile of ingest time minus event time, in seconds.
 
@@ -78,20 +102,23 @@ def job_latest_status(df: DataFrame) -> DataFrame:
     )
 
 
-def stream_job_status(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def stream_job_status(
+    stream: DataFrame, out: str, checkpoint: str, trigger: dict = ONCE
+) -> StreamingQuery:
     """Changed jobs of each micro-batch; ``job_latest_status`` over ``out`` is the state.
 
     Keeps one row per job in the state store (RocksDB, so on disk).
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+        part = batch_folder(batch.sparkSession, checkpoint, batch_id)
+        batch.write.mode("overwrite").parquet(os.path.join(out, part))
 
     return (
         job_latest_status(stream)
         .writeStream.outputMode("update")
         .foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

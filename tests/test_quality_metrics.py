@@ -187,3 +187,18 @@ def test_expected_outputs(spark):
     names = ["person.parquet", "empty.parquet", "none.parquet"]
     got = {r.output: (r.found, r.files, r.bytes) for r in quality.expected_outputs(manifest, names).collect()}
     assert got == {"person.parquet": (True, 1, 10), "empty.parquet": (False, 0, 0), "none.parquet": (False, 0, 0)}
+
+
+def test_hash_tells_cells_apart(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "1:a"), ("", None), ("-", ""), ("1:a", None)]
+    hashes = {
+        metrics.dataset_hash(spark.createDataFrame([r], "x string, y string"), ["x", "y"]).first().content_hash for r in rows
+    }
+    assert len(hashes) == len(rows)
+
+
+def test_expected_outputs_are_whole_names(spark):
+    paths = [("/o/person.parquet_old/part-0", 5), ("/o/condition.parquet/part-0", 7), ("/o/visit.parquet", 3)]
+    manifest = spark.createDataFrame(paths, "path string, length bigint")
+    found = quality.expected_outputs(manifest, ["person.parquet", "condition.parquet", "visit.parquet"]).collect()
+    assert {r.output: r.found for r in found} == {"person.parquet": False, "condition.parquet": True, "visit.parquet": True}

@@ -64,7 +64,7 @@ def test_convert_dir_goes_on_after_an_error(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(readers, "read_omop_csv", fail_on_broken)
     report = {r.table: r for r in readers.convert_omop_dir(spark, str(source), str(target)).collect()}
     assert {t: (r.rows, r.error) for t, r in report.items()} == {
-        "person": (2, None), "broken": (None, "cannot read"), "extra": (2, None),
+        "person": (2, None), "broken": (None, "OSError: cannot read"), "extra": (2, None),
     }
     written = spark.read.parquet(report["person"].output)
     assert written.schema[0].dataType.simpleString() == "bigint"
@@ -127,3 +127,26 @@ def test_raw_table_paths_are_read_as_leaves(spark, docs, tmp_path):
     assert sorted(tuple(r) for r in df.collect()) == [("1", 2), ("2", None)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<record_content:struct<0:string,1:int>>" in plan
+
+
+def test_csv_quotes_line_ends_and_missing_values(spark, tmp_path):
+    (tmp_path / "person.csv").write_text(
+        'person_id,gender_concept_id,year_of_birth,note\n'
+        '1,8507,1950,"line one\nline two"\n'
+        '2,8532.0,NA,"say ""hi"", ok"\n'
+        '3,,1970,null\n'
+    )
+    df, failed = readers.read_omop_csv(spark, str(tmp_path / "person.csv"), "person")
+    assert failed == {}
+    rows = [tuple(r) for r in df.orderBy("person_id").collect()]
+    assert rows == [(1, 8507, 1950, "line one\nline two"), (2, 8532, None, 'say "hi", ok'), (3, None, 1970, None)]
+
+
+def test_csv_broken_records_are_counted_or_fail(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "person.csv").write_text("person_id,year_of_birth\n1,1950\n2,1960,9\n3\n")
+    df, failed = readers.read_omop_csv(spark, str(tmp_path / "person.csv"), "person")
+    assert failed == {readers.BROKEN: 2} and df.count() == 3
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_omop_csv(spark, str(tmp_path / "person.csv"), "person", multi_line=False)

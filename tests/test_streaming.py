@@ -120,3 +120,30 @@ def test_replayed_batch_writes_its_rows_once(spark, tmp_path):
     for commit in (checkpoint / "commits").iterdir():
         commit.unlink()
     assert run() == first and len(first) == 9
+
+
+def test_a_new_checkpoint_adds_to_what_is_there(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for k in range(2):
+        folder = tmp_path / f"in{k}"
+        folder.mkdir()
+        (folder / "patients.ndjson").write_text(_patients(3, 10 * k))
+        streaming.stream_raw_ingest(
+            spark, str(folder), table, "patients", str(tmp_path / f"c{k}")
+        ).awaitTermination()
+    ids = sorted(r[0] for r in spark.read.parquet(table).select(path(".id")).collect())
+    assert ids == ["0", "1", "10", "11", "12", "2"]
+
+
+def test_rates_hold_open_windows_and_count_late_rows(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("s", "o", "c"))
+    query = None
+    for moments in (["2024-01-01 00:01", "2024-01-01 00:02"], ["2024-01-01 02:00"], ["2024-01-01 00:03", "2024-01-01 02:01"]):
+        df = spark.createDataFrame([(m,) for m in moments], "ts string").select(F.col("ts").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("ts timestamp").parquet(source)
+        query = streaming.stream_ingest_rate(stream, "ts", out, checkpoint)
+        query.awaitTermination()
+    rates = streaming.latest_rates(spark.read.parquet(out)).orderBy("window_start").collect()
+    assert [r.records for r in rates] == [2, 2]  # the last window is still open
+    assert streaming.late_rows(query) == 1
