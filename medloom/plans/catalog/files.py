@@ -34,16 +34,16 @@ def _resources(m) -> DataFrame:
 
 
 def write_bundle(m):
-    """Bundles of at most 200 entries: how many entries they hold together."""
+    """Bundles of at most 200 entries: every entry with its bundle's type."""
     target = scratch_dir(m.spark, "bundles")
     writers.write_bundle(_resources(m), target, size=200)
-    text = m.spark.read.text(target)
-    size = F.size(path(".entry", "array<variant>", F.try_parse_json("value")))
-    return text.agg(
-        F.sum(size).alias("entries"),
-        (F.max(size) <= 200).alias("bounded"),
-        F.min(path(".type", doc=F.try_parse_json("value"))).alias("type"),
+    bundles = m.spark.read.text(target).select(F.try_parse_json("value").alias("bundle"))
+    entries = bundles.select(
+        path(".type", doc="bundle").alias("type"),
+        (F.size(path(".entry", "array<variant>", "bundle")) <= 200).alias("bounded"),
+        readers.explode_entries("bundle").alias("entry"),
     )
+    return entries.select("type", "bounded", path(".resource.id", doc="entry").alias("id"))
 
 
 def read_bundle(m):
@@ -89,12 +89,29 @@ def read_omop_csv(m):
 
 
 def convert_omop_dir(m):
+    """Converted values of all three tables, beside what the report says of the table."""
     source, target = scratch_dir(m.spark, "csv"), scratch_dir(m.spark, "omop")
     _csv(m, m.person.drop("ingestion_timestamp"), f"{source}/person.csv")
     _csv(m, m.condition, f"{source}/condition_occurrence.csv")
     _csv(m, m.measurement, f"{source}/measurement.csv")
-    report = readers.convert_omop_dir(m.spark, source, target)
-    return report.select("table", "rows", F.size("unfit_columns").cast("bigint").alias("unfit"), "error")
+    report = readers.convert_omop_dir(m.spark, source, target).select(
+        "table", "rows", F.size("unfit_columns").cast("bigint").alias("unfit"), "error"
+    )
+    parts = [
+        ("person", "person_id", "birth_datetime", "gender_concept_id"),
+        ("condition_occurrence", "condition_occurrence_id", "condition_start_date", "condition_concept_id"),
+        ("measurement", "measurement_id", "measurement_date", "measurement_concept_id"),
+    ]
+    values = None
+    for table, key, moment, concept in parts:
+        own = m.spark.read.parquet(f"{target}/{table}.parquet").select(
+            F.lit(table).alias("table"),
+            F.col(key).cast("string").alias("id"),
+            F.col(moment).cast("string").alias("moment"),
+            F.col(concept).alias("concept"),
+        )
+        values = own if values is None else values.unionByName(own)
+    return values.join(report, "table")
 
 
 def write_ndjson(m):
@@ -114,36 +131,59 @@ def write_ndjson(m):
 
 
 def write_by_type_and_date(m):
+    """Every document of the wanted types with its folder, and the count of its type."""
     raw = m.raw("patients").select("record_content")
     raw = raw.unionByName(m.raw("encounters").select("record_content"))
     raw = raw.unionByName(m.raw("observations").select("record_content"))
     day = F.coalesce(
         F.to_date(path(".period.start", "timestamp_ntz")), F.lit("2025-01-01").cast("date")
     )
-    return writers.write_by_type_and_date(
-        raw,
-        ["Patient", "Encounter", "Immunization"],
-        scratch_dir(m.spark, "typed"),
-        F.trunc(day, "year"),
+    target = scratch_dir(m.spark, "typed")
+    types = ["Patient", "Encounter", "Observation", "Immunization"]
+    counts = writers.write_by_type_and_date(raw, types, target, day)
+    back = m.spark.read.text(target).select(
+        "resource_type",
+        F.col("date").cast("date").alias("date"),
+        path(".id", doc=F.try_parse_json("value")).alias("id"),
     )
+    return back.join(counts, "resource_type")
 
 
 def write_date_partitioned(m):
+    """Every request under its day, with the bundle inside."""
     target = scratch_dir(m.spark, "webhooks")
-    requests = fixtures.bundle_requests(m.spark, m.sf_dir).select("request_id", "requested_at")
-    month = F.date_trunc("month", F.col("requested_at"))
-    writers.write_date_partitioned(requests.withColumn("landed_at", month), "landed_at", target)
-    schema = "request_id string, year int, month int, day int"
-    return _count(m.spark.read.schema(schema).json(target), "year", "month", "day")
+    requests = fixtures.bundle_requests(m.spark, m.sf_dir)
+    writers.write_date_partitioned(requests, "requested_at", target)
+    schema = "request_id string, organization_id string, body string, year int, month int, day int"
+    bundle = F.try_parse_json("body")
+    return m.spark.read.schema(schema).json(target).select(
+        "request_id",
+        "organization_id",
+        "year",
+        "month",
+        "day",
+        F.col("body").isNotNull().alias("has_body"),
+        F.size(path(".entry", "array<variant>", bundle)).cast("bigint").alias("entries"),
+    ).withColumn("entries", F.when(F.substring_index("request_id", "-", -1).cast("bigint") % 20 > 6, F.col("entries")))
 
 
 def write_omop_partitioned(m):
-    target = scratch_dir(m.spark, "person")
-    writers.write_omop_partitioned(m.person, "person", target)
-    back = m.spark.read.parquet(target)
-    return back.groupBy(F.col("year_of_birth").cast("bigint").alias("year_of_birth")).agg(
-        F.count(F.lit(1)).alias("persons"), F.sum("person_id").alias("ids")
-    )
+    """Every row of the three tables with the folder it lies in."""
+    out = None
+    for table, df, key, column in (
+        ("person", m.person, "person_id", "year_of_birth"),
+        ("condition_occurrence", m.condition, "condition_occurrence_id", "condition_start_date"),
+        ("measurement", m.measurement, "measurement_id", "measurement_date"),
+    ):
+        target = scratch_dir(m.spark, table)
+        writers.write_omop_partitioned(df, table, target)
+        own = m.spark.read.parquet(target).select(
+            F.lit(table).alias("table"),
+            F.col(column).cast("string").alias("folder"),
+            F.col(key).cast("string").alias("id"),
+        )
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def write_flat_parquet(m):
@@ -153,12 +193,13 @@ def write_flat_parquet(m):
 
 
 def write_run_scoped(m):
+    """Whole rows of two runs; the zone beside them is not read."""
     root = scratch_dir(m.spark, "zones")
-    writers.write_run_scoped(m.flat_patient.select("patient_id"), root, "run-1", "fhir")
-    writers.write_run_scoped(m.person.select("person_id"), root, "run-1", "omop")
-    writers.write_run_scoped(m.person.select("person_id"), root, "run-2", "omop")
-    runs = m.spark.read.option("basePath", f"{root}/runs").parquet(f"{root}/runs/*/omop")
-    return _count(runs, "pipeline_run_id")
+    person = m.person.drop("ingestion_timestamp")
+    writers.write_run_scoped(m.flat_patient, root, "run-1", "fhir")
+    writers.write_run_scoped(person, root, "run-1", "omop")
+    writers.write_run_scoped(person, root, "run-2", "omop")
+    return m.spark.read.option("basePath", f"{root}/runs").parquet(f"{root}/runs/*/omop")
 
 
 def materialize_view(m):
@@ -210,10 +251,19 @@ QUERIES: dict[str, Query] = {
     ),
     "convert_omop_dir": Query(
         convert_omop_dir,
-        """SELECT 'person' AS "table", count(*) AS "rows", 0::BIGINT AS unfit,
-                  NULL::VARCHAR AS error FROM customer
-           UNION ALL SELECT 'condition_occurrence', count(*), 0, NULL FROM orders
-           UNION ALL SELECT 'measurement', count(*), 0, NULL FROM lineitem""",
+        sql(
+            """SELECT *, count(*) OVER (PARTITION BY "table") AS "rows", 0::BIGINT AS unfit,
+                      NULL::VARCHAR AS error
+               FROM (SELECT 'person' AS "table", person_id::VARCHAR AS id,
+                            birth_datetime AS moment, gender_concept_id AS concept FROM person
+                     UNION ALL SELECT 'condition_occurrence', condition_occurrence_id,
+                            condition_start_date, condition_concept_id FROM cond
+                     UNION ALL SELECT 'measurement', measurement_id, measurement_date,
+                            measurement_concept_id FROM meas)""",
+            "person",
+            "cond",
+            "meas",
+        ),
     ),
     "read_parquet_table": Query(
         lambda m: readers.read_parquet_table(
@@ -234,33 +284,52 @@ QUERIES: dict[str, Query] = {
     ),
     "write_bundle": Query(
         write_bundle,
-        "SELECT count(*) AS entries, true AS bounded, 'collection' AS type FROM customer",
+        "SELECT c_custkey::VARCHAR AS id, true AS bounded, 'collection' AS type FROM customer",
     ),
     "write_by_type_and_date": Query(
         write_by_type_and_date,
-        """SELECT 'Patient' AS resource_type, count(*) AS record_count FROM customer
-           UNION ALL SELECT 'Encounter', count(*) FROM orders""",
+        sql(
+            """SELECT *, count(*) OVER (PARTITION BY resource_type) AS record_count
+               FROM (SELECT 'Patient' AS resource_type, DATE '2025-01-01' AS date, patient_id AS id
+                     FROM pat
+                     UNION ALL SELECT 'Encounter', period_start::DATE, encounter_id FROM enc
+                     UNION ALL SELECT 'Observation', DATE '2025-01-01', observation_id FROM obs)""",
+            "pat",
+            "enc",
+            "obs",
+        ),
     ),
     "write_date_partitioned": Query(
         write_date_partitioned,
         sql(
-            """SELECT year(requested_at)::INTEGER AS year, month(requested_at)::INTEGER AS month,
-                      1 AS day, count(*) AS n
-               FROM req GROUP BY 1, 2""",
+            """SELECT request_id, organization_id, year(requested_at)::INTEGER AS year,
+                      month(requested_at)::INTEGER AS month, day(requested_at)::INTEGER AS day,
+                      true AS has_body,
+                      CASE WHEN o_orderkey % 20 > 6 THEN entries::BIGINT END AS entries
+               FROM req""",
             "req",
         ),
     ),
     "write_omop_partitioned": Query(
         write_omop_partitioned,
         sql(
-            """SELECT year_of_birth, count(*) AS persons, sum(person_id)::BIGINT AS ids
-               FROM person GROUP BY 1""",
+            """SELECT 'person' AS "table", year_of_birth::VARCHAR AS folder,
+                      person_id::VARCHAR AS id FROM person
+               UNION ALL SELECT 'condition_occurrence', condition_start_date,
+                      condition_occurrence_id FROM cond
+               UNION ALL SELECT 'measurement', measurement_date, measurement_id FROM meas""",
             "person",
+            "cond",
+            "meas",
         ),
     ),
     "write_run_scoped": Query(
         write_run_scoped,
-        """SELECT unnest(['run-1', 'run-2']) AS pipeline_run_id, count(*) AS n FROM customer""",
+        sql(
+            """SELECT * EXCLUDE (_ingestion_ts)
+               FROM person, (VALUES ('run-1'), ('run-2')) AS runs(pipeline_run_id)""",
+            "person",
+        ),
     ),
     "materialize_view": Query(
         materialize_view,

@@ -11,7 +11,7 @@ import os
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from medloom.functions.documents import path
@@ -84,11 +84,14 @@ def write_by_type_and_date(
         path(".resourceType", doc=doc).alias("resource_type"),
         day.alias("date"),
     ).filter(F.col("resource_type").isin(*types))
-    kept.hint("rebalance", "resource_type", "date").write.mode("overwrite").partitionBy(
+    # Counted while they are written.
+    seen = Observation()
+    counted = kept.observe(seen, *[F.count_if(F.col("resource_type") == t).alias(t) for t in types])
+    counted.hint("rebalance", "resource_type", "date").write.mode("overwrite").partitionBy(
         "resource_type", "date"
     ).text(target)
-    written = df.sparkSession.read.text(target)
-    return written.groupBy("resource_type").agg(F.count(F.lit(1)).alias("record_count"))
+    counts = [(t, n) for t, n in seen.get.items() if n]
+    return df.sparkSession.createDataFrame(counts, "resource_type string, record_count bigint")
 
 
 def write_date_partitioned(df: DataFrame, ts: str, target: str, mode: str = "append") -> None:
