@@ -150,13 +150,14 @@ def top_k(
     groups = max(1, -(-queries.count() // GROUP))
     rings = _Rings(sizes, centres, most, top)
 
-    first = _searched(index, queries, _routes(queries, rings, None), groups, top, most)
+    unbounded = queries.withColumn("kth", F.lit(None).cast("bigint"))
+    first = _searched(index, unbounded, _routes(queries, rings, None), groups, top, most)
     bounds = _best(first, top).groupBy("query_id").agg(
         F.when(F.count("*") == top, F.min("score")).alias("kth")
     )
     bounds = written(bounds, "bounds")
     bounded = queries.join(bounds, "query_id", "left")
-    rest = _searched(index, queries, _routes(bounded, rings, "kth"), groups, top, most)
+    rest = _searched(index, bounded, _routes(bounded, rings, "kth"), groups, top, most)
     return _best(first.union(rest), top).select("query_id", F.col("place").alias("rank"), "vec_id", "score")
 
 
@@ -221,9 +222,10 @@ def _routes(queries: DataFrame, rings: _Rings, bound: str | None) -> DataFrame:
 def _searched(
     index: DataFrame, queries: DataFrame, routes: DataFrame, groups: int, top: int, most: float
 ) -> DataFrame:
-    """The best of each searched block for each query. Blocks and query groups are of bounded size."""
+    """The best of each searched block for each query, as far as they reach the query's bound ``kth``.
+    Blocks and query groups are of bounded size."""
     group = F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("group")
-    asked = queries.join(routes, "query_id").select("cell", "salt", group, "query_id", "v")
+    asked = queries.join(routes, "query_id").select("cell", "salt", group, "query_id", "v", "kth")
     # A block that queries of several groups ask for is sent once to each.
     wanted = asked.select("cell", "salt", "group").distinct()
     block_key = [F.col(k).alias(f"block_{k}") for k in ("cell", "salt", "group")]
@@ -239,7 +241,7 @@ def _searched(
             order = np.argsort(ids, kind="stable")
             ids, x = ids[order], x[order]
             scores = np.array(asking["v"].to_pylist(), kind) @ x.T
-            for q, row in zip(asking["query_id"].to_pylist(), scores):
+            for q, kth, row in zip(asking["query_id"].to_pylist(), asking["kth"].to_pylist(), scores):
                 others = ids != q
                 ids_of, row = ids[others], row[others]
                 # Stable order: among equal scores the smaller id comes first.
@@ -249,6 +251,8 @@ def _searched(
                 else:
                     some = np.arange(len(row))
                 best = some[np.argsort(-row[some], kind="stable")[:top]]
+                if kth is not None:
+                    best = best[row[best] >= kth]
                 out["query_id"] += [q] * len(best)
                 out["vec_id"] += ids_of[best].tolist()
                 out["score"] += row[best].astype(np.int64).tolist()
