@@ -86,7 +86,7 @@ UPLOAD_EXTENSIONS = {
 # Extension that carries the OMOP person id inside a Patient; senders use their own url.
 PERSON_ID_URL = "urn:omop:person-id"
 
-# Domain constraint and distribution profile defaults.
+# Domain constraint and distribution profile defaults.
 DOMAIN_CONSTRAINTS = {
     "patient": [
         {
@@ -101,7 +101,7 @@ DOMAIN_CONSTRAINTS = {
 }
 AGE_PROFILE = {"mean": 50.0, "stddev": 15.0, "min": 0.0, "max": 100.0}
 
-# Contracts of the mart tables: name -> (type, constraints).
+# Contracts of the mart tables, name -> (type, constraints).
 API_PATIENT_CONTRACT = {
     "patient_id": ("string", ("not_null", "unique")),
     "active": ("boolean", ()),
