@@ -13,6 +13,7 @@ from medloom.llm import (
     lm_scoring,
     near_duplicates,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     suffix_dedup,
@@ -63,6 +64,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every whole text; nulls, repeats and empty tables as in ``periodic_runs.periodic_runs``."""
+    return periodic_runs.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -74,6 +80,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_exact_topk": op9_exact_topk,
     "op10_simhash": op10_simhash,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 SQL = {
