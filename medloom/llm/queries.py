@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from medloom.llm import (
     byte_bpe,
     exact_topk,
+    importance,
     line_dedup,
     lm_scoring,
     near_duplicates,
@@ -69,6 +70,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents drawn towards the benchmark texts; nulls, repeats and empty tables as in
+    ``importance.resample``."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -81,10 +88,12 @@ QUERIES = {
     "op9_exact_topk": op9_exact_topk,
     "op10_simhash": op10_simhash,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 SQL = {
     "op1_line_dedup": line_dedup.SQL,
     "op8_quality_rules": quality_rules.SQL,
     "op9_exact_topk": exact_topk.SQL,
+    "op13_importance_resampling": importance.SQL,
 }
