@@ -34,7 +34,10 @@ def id_and_text(
 
 def carried_type(df: DataFrame) -> str:
     """The carried column as the end of a schema text; empty if there is none."""
-    return f", carried {df.schema['carried'].dataType.simpleString()}" if "carried" in df.columns else ""
+    if "carried" not in df.columns:
+        return ""
+    quoted = [f"`{f.name.replace('`', '``')}`: {f.dataType.simpleString()}" for f in df.schema["carried"].dataType]
+    return f", carried struct<{', '.join(quoted)}>"
 
 
 def held_in_row(df: DataFrame, **made: Column) -> DataFrame:

@@ -163,9 +163,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     """
     prints = written(fingerprints(docs, shingle_words, **cols), "fingerprints")
     nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
-    roots = components(links(nodes.select("fingerprint"), radius)).withColumnRenamed("u", "fingerprint")
-    rooted = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    rooted = written(rooted, "rooted")
+    rooted = _rooted(nodes, radius)
     least = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
     named = written(rooted.join(least, "root").select("fingerprint", "component_id"), "named")
     return prints.join(named, "fingerprint").select(
@@ -173,3 +171,36 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
+    """The distinct fingerprints with ``root``, the smallest one each is connected with."""
+    roots = components(links(nodes.select("fingerprint"), radius)).withColumnRenamed("u", "fingerprint")
+    rooted = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    return written(rooted, "rooted")
+
+
+def keep_one(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each component, with all columns of the input, whatever their names.
+
+    It has the smallest id; null ids come last. Of rows with this id the least text checksum decides,
+    and of rows that repeat id and text one stays. Null, empty and blank texts are one component
+    (with texts within the radius of fingerprint zero); no input gives no rows.
+    """
+    checksum = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    keyed = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), checksum.alias("sum"))
+    prints = written(fingerprints(keyed, shingle_words, carry=["sum"]), "fingerprints")
+    rows = prints.groupBy("fingerprint", "doc_id", F.col("carried.sum").alias("sum")).agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sum", "n")).alias("first")
+    rooted = _rooted(written(rows.groupBy("fingerprint").agg(first), "firsts"), radius)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    kept = written(kept.select(F.col("first.doc_id").alias("kept_id"), "first.sum", "first.n"), "kept")
+    held = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(id_col).cast("bigint").alias("held_id"), checksum.alias("held_sum")
+    )
+    same = F.col("held_id").eqNullSafe(F.col("kept_id")) & (F.col("held_sum") == F.col("sum"))
+    single = held.join(kept.where("n = 1"), same, "left_semi")
+    repeated = held.join(kept.where("n > 1"), same).dropDuplicates(["held_id", "held_sum"])
+    return single.select("row.*").unionByName(repeated.select("row.*"))

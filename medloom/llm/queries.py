@@ -19,6 +19,7 @@ from medloom.llm import (
     quality_rules,
     suffix_dedup,
     toxicity,
+    warc,
 )
 from medloom.llm._common import table
 
@@ -70,6 +71,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived and read back; nulls and repeats as in ``warc.Archive.of_pages``."""
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents drawn towards the benchmark texts; nulls, repeats and empty tables as in
     ``importance.resample``."""
@@ -88,6 +94,7 @@ QUERIES = {
     "op9_exact_topk": op9_exact_topk,
     "op10_simhash": op10_simhash,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_warc": op12_warc,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
@@ -95,5 +102,6 @@ SQL = {
     "op1_line_dedup": line_dedup.SQL,
     "op8_quality_rules": quality_rules.SQL,
     "op9_exact_topk": exact_topk.SQL,
+    "op12_warc": warc.SQL,
     "op13_importance_resampling": importance.SQL,
 }

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from medloom.llm._common import id_and_text
+from medloom.llm._common import carried_type, id_and_text
 
 UPPER_TO_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 SEED = 42
@@ -41,14 +41,17 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int, **cols: str) -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (the 64 bits as a signed long), a row per input row."""
-    fields = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.int64())])
+def fingerprints(docs: DataFrame, shingle_words: int, carry: Sequence[str] = (), **cols: str) -> DataFrame:
+    """``doc_id`` and ``fingerprint`` (the 64 bits as a signed long), a row per input row; columns
+    named in ``carry`` come along in the struct ``carried``."""
+    d = id_and_text(docs, carry=carry, **cols)
+    more = d.columns[2:]
+    names = ["doc_id", "fingerprint", *more]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(shingle_hashes(t.as_py(), shingle_words)) for t in batch["text"]]
             signed = pa.array(np.array(prints, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], signed], schema=fields)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], signed, *(batch[c] for c in more)], names=names)
 
-    return id_and_text(docs, **cols).mapInArrow(run, "doc_id long, fingerprint long")
+    return d.mapInArrow(run, "doc_id long, fingerprint long" + carried_type(d))
