@@ -8,56 +8,62 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.llm import line_dedup, packing, quality_classifier, similar_texts, suffix_dedup
+from medloom.llm import line_dedup, near_duplicates, packing, quality_classifier, suffix_dedup
 from medloom.llm._common import table, written
 
-CARRIED = ("lang", "source")
+# The columns that a stage makes anew; all others come along.
+MADE = ("doc_id", "text", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go. Null and empty texts are scored like any other,
+    repeated rows each on their own; no documents give none."""
     return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents hold go, but for one document each."""
-    kept = line_dedup.dedup_lines(docs, line_dedup.LineIndex.build(docs), carry=CARRIED)
-    return _documents(kept)
+    """Lines that many documents hold go, but for one document each.
+
+    A null text becomes an empty one; rows that repeat an id count as one document; a null id is
+    smaller than any other. No row goes; no documents give none.
+    """
+    kept = line_dedup.dedup_lines(docs, line_dedup.LineIndex.build(docs), carry=_carried(docs))
+    return _documents(kept, docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five words, similarity 0.8) one row stays.
+    """Of each group of near-duplicates (SimHash of three words, within three bits) one row stays.
 
-    It has the smallest id; null ids come last. Of rows with this id the least text key decides, and
-    of rows that repeat id and text one stays.
+    It has the smallest id; null ids come last; of repeated rows one stays. Null, empty and blank
+    texts are one group. No documents give none.
     """
-    found = similar_texts.similar_texts(docs)
-    rows = found.groupBy("component", "doc_id", "node").agg(F.count("*").alias("n"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "n")).alias("first")
-    first = rows.groupBy("component").agg(first).select(
-        F.col("first.doc_id").alias("kept_id"), F.col("first.node").alias("kept_node"), F.col("first.n").alias("kept_rows")
-    )
-    first = written(first, "near-first")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (similar_texts.node(text) == F.col("kept_node"))
-    single = docs.join(first.where("kept_rows = 1"), same, "left_semi")
-    repeated = docs.join(first.where("kept_rows > 1"), same).dropDuplicates(["kept_id", "kept_node"])
-    return single.unionByName(repeated.select(*docs.columns))
+    return near_duplicates.keep_one(docs)
 
 
 def strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings that start in two places go, and what is cut of a character with them."""
-    kept = suffix_dedup.dedup_strings(docs, carry=CARRIED, as_text=True).withColumnRenamed("kept", "text")
-    return _documents(kept)
+    """Byte strings that start in two places go, and what is cut of a character with them.
+
+    A null text becomes an empty one; repeated rows lose the strings that they share. No row goes;
+    no documents give none.
+    """
+    kept = suffix_dedup.dedup_strings(docs, carry=_carried(docs), as_text=True).withColumnRenamed("kept", "text")
+    return _documents(kept, docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left becomes token sequences."""
+    """What is left becomes token sequences. A null text is an empty one; each row is a document of
+    its own; no documents give no pieces."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-def _documents(df: DataFrame) -> DataFrame:
-    return df.select("doc_id", "text", "carried.*", F.length("text").cast("bigint").alias("n_chars"))
+def _carried(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c not in MADE]
+
+
+def _documents(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, in their order."""
+    made = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    return kept.select(*[(made[c] if c in made else F.col("carried").getField(c)).alias(c) for c in docs.columns])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
