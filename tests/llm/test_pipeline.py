@@ -4,6 +4,8 @@ import subprocess
 import sys
 from collections import Counter
 
+import pytest
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from medloom.llm import queries, quality_classifier
@@ -39,6 +41,37 @@ def test_stages(spark, documents, labels):
     assert {r.doc_id for r in pieces.collect()} == first
 
 
+def test_near_keeps_one_row_of_each_group(spark, documents):
+    own = "one two three four five six seven eight nine ten"
+    given = [(7, own), (7, own), (8, own), (None, own), (None, "nobody's text"), (None, "nobody's text"), (9, "other words")]
+    given += [(9, "of the same id"), (None, None), (None, ""), (5, " \n"), (6, None), (4, "only here"), (None, "once")]
+    docs = spark.createDataFrame([(*r, "en", "web", 1) for r in given], documents.schema).repartition(4)
+    kept = corpus_pipeline.near(spark, docs, SF)
+    want = [(7, own), (None, "nobody's text"), (9, "other words"), (9, "of the same id"), (5, " \n"), (4, "only here")]
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([*want, (None, "once")])
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES[:4], ids=lambda s: s[0])
+def test_stage_on_edges(spark, edges, no_documents, stage):
+    names = "kept_id long, kept string, held_id int, text_sum long, row string, first string, root long, `a b` string"
+    more = spark.createDataFrame([tuple(str(k) if "string" in n else k for k, n in enumerate(names.split(", ")))], names)
+    docs = edges.repartition(3).crossJoin(more)  # one row beside each
+    kept = stage[1](spark, docs, SF)
+    assert kept.columns == docs.columns
+    found = rows(kept.select("doc_id", "kept_id", "`a b`"))
+    assert found and not found - rows(docs.select("doc_id", "kept_id", "`a b`"))
+    if stage[0] in ("line dedup", "suffix-array dedup"):
+        assert found == rows(docs.select("doc_id", "kept_id", "`a b`"))
+    empty = stage[1](spark, no_documents, SF)
+    assert empty.columns == no_documents.columns and empty.count() == 0
+
+
+def test_pack_on_edges(spark, edges, no_documents):
+    assert {r.doc_id for r in corpus_pipeline.pack(spark, edges, SF).collect()} == {r.doc_id for r in edges.collect()}
+    assert corpus_pipeline.pack(spark, no_documents, SF).count() == 0
+
+
 def test_run_is_all_stages(spark):
     docs = corpus_pipeline.table(spark, SF, "documents")
     for _, stage in corpus_pipeline.STAGES:
@@ -50,7 +83,7 @@ def test_run_is_all_stages(spark):
 
 def test_registered():
     names = list(entry.queries())
-    assert [n for n in names if n.startswith("op")] == list(queries.QUERIES) and len(queries.QUERIES) >= 10
+    assert [n for n in names if n.startswith("op")] == list(queries.QUERIES) and len(queries.QUERIES) == 13
     assert "pipeline" in names and set(queries.SQL) < set(names)
 
 
