@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import window as W
 from medloom.functions.documents import is_blank, path, with_document
 from medloom.schemas import OMOP_SCHEMAS
 from medloom.session import sized
+from medloom.sources.csv import csv_records
 
 # A file of this name, or the parts of a folder of this name (as ``write_ndjson`` makes them).
 DEFAULT_NAME_PATTERN = r".*{resource}.*\.ndjson(/[^/]*)?"
@@ -152,41 +155,76 @@ MISSING = (
 BROKEN = "_corrupt_record"
 
 
+@dataclass(frozen=True)
+class OmopCsv:
+    """An OMOP table as text: ``raw`` has all cells and the broken record, if it is one."""
+
+    raw: DataFrame
+    names: list[str]
+    types: dict[str, str]
+
+    @classmethod
+    def open(cls, spark: SparkSession, path_: str, table: str, multi_line: bool = True) -> OmopCsv:
+        dialect = {"escape": '"', "nullValue": "\u0000", "emptyValue": ""}
+        dialect |= {"columnNameOfCorruptRecord": BROKEN}
+        header = {"header": "true", "multiLine": str(multi_line).lower()}
+        names = spark.read.options(**dialect, **header).csv(path_).columns
+        # A name is quoted in a schema text; all cells are read as text.
+        schema = ", ".join(f"{_quoted(n)} string" for n in [*names, BROKEN])
+        if multi_line:
+            records = csv_records(spark, path_).where("not header")
+            # A generator's output is computed once, however many columns are taken from it.
+            parsed = F.from_csv("record", F.lit(schema), {**dialect, "mode": "PERMISSIVE"})
+            read = records.select(F.inline(F.array(parsed)))
+        else:
+            # A record is whole or broken whatever columns are asked for.
+            reader = spark.read.options(**dialect, **header, mode="FAILFAST", columnPruning="false")
+            read = reader.schema(schema).csv(path_)
+        cells = [F.when(~F.col(_quoted(n)).isin(*MISSING), F.col(_quoted(n))).alias(n) for n in names]
+        types = OMOP_SCHEMAS.get(table, {})
+        return cls(read.select(*cells, BROKEN), names, {n: types[n] for n in names if n in types})
+
+    def unfit(self) -> dict[str, Column]:
+        """Counts of values that do not fit their type, and of broken records."""
+        counts = {
+            n: F.count_if(F.col(_quoted(n)).isNotNull() & _as_type(F.col(_quoted(n)), t).isNull())
+            for n, t in self.types.items()
+            if t != "string"
+        }
+        # Spark does not answer for the broken records alone.
+        broken = F.col(BROKEN).isNotNull() | F.col(_quoted(self.names[0])).eqNullSafe(BROKEN)
+        return counts | {BROKEN: F.count_if(broken)}
+
+    def typed(self, unfit: Collection[str], raw: DataFrame | None = None) -> DataFrame:
+        """The table; columns named in ``unfit`` keep their text."""
+        columns = [
+            _as_type(F.col(_quoted(n)), self.types[n]).alias(n)
+            if n in self.types and n not in unfit
+            else F.col(_quoted(n)).alias(n)
+            for n in self.names
+        ]
+        return (raw or self.raw).select(*columns)
+
+
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def read_omop_csv(
     spark: SparkSession, path_: str, table: str, multi_line: bool = True
 ) -> tuple[DataFrame, dict[str, int]]:
     """CSV -> typed OMOP table, plus the number of values that did not fit per column.
 
-    Quotes may hold commas, line ends and doubled quotes. As in pandas, a column with any unfit
-    value keeps its text, the usual markers are missing values, and unknown columns are kept.
-    Records with too many or too few cells are counted under ``_corrupt_record``; what they hold
-    is kept. A quoted line end keeps a file from being split: with ``multi_line=False`` files are
-    split over tasks, and the read fails on a record that does not fit its header.
+    Quotes may hold commas, line ends and doubled quotes, and files are split over tasks all the
+    same. As in pandas, a column with any unfit value keeps its text, the usual markers are missing
+    values, and unknown columns are kept. Records with too many or too few cells are counted under
+    ``_corrupt_record``; what they hold is kept. ``multi_line=False`` takes every line for a record,
+    which saves a pass, and the read fails on a record that does not fit its header.
     """
-    dialect = {"header": "true", "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
-    # A record is whole or broken whatever columns are asked for.
-    dialect |= {"multiLine": str(multi_line).lower(), "columnPruning": "false"}
-    names = spark.read.options(**dialect).csv(path_).columns
-    # A name is quoted in a schema text; all cells are read as text.
-    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, BROKEN])
-    mode = "PERMISSIVE" if multi_line else "FAILFAST"
-    read = spark.read.options(**dialect, mode=mode, columnNameOfCorruptRecord=BROKEN).schema(schema).csv(path_)
-    quoted = {n: f"`{n.replace('`', '``')}`" for n in names}
-    raw = read.select(
-        *[F.when(~F.col(q).isin(*MISSING), F.col(q)).alias(n) for n, q in quoted.items()], BROKEN
-    )
-    types = OMOP_SCHEMAS.get(table, {})
-    known = [c for c in names if c in types]
-    fits = {c: _as_type(F.col(quoted[c]), types[c]) for c in known}
-    cast_columns = [c for c in known if types[c] != "string"]
-    counts = raw.agg(
-        # Spark does not answer for the broken records alone.
-        F.count_if(F.col(BROKEN).isNotNull() | F.col(quoted[names[0]]).eqNullSafe(BROKEN)).alias(BROKEN),
-        *[F.count_if(F.col(quoted[c]).isNotNull() & fits[c].isNull()).alias(c) for c in cast_columns],
-    ).first()
-    failed = {c: counts[c] for c in [*cast_columns, BROKEN] if counts[c]}
-    columns = [fits[c].alias(c) if c in fits and c not in failed else F.col(quoted[c]) for c in names]
-    return raw.select(*columns), failed
+    csv = OmopCsv.open(spark, path_, table, multi_line)
+    counts = csv.raw.agg(*[c.alias(n) for n, c in csv.unfit().items()]).first().asDict()
+    failed = {n: count for n, count in counts.items() if count}
+    return csv.typed(failed), failed
 
 
 def _as_type(text: Column, type_: str) -> Column:
@@ -196,26 +234,42 @@ def _as_type(text: Column, type_: str) -> Column:
     return text.try_cast(type_)
 
 
+# Tables converted side by side.
+TABLES_AT_ONCE = 4
+
+
 def convert_omop_dir(spark: SparkSession, in_dir: str, out_dir: str) -> DataFrame:
     """Every CSV table in a folder to Parquet; one report row per table, errors do not stop it.
 
-    A table is a file ``<table>.csv`` or a folder ``<table>.csv`` of parts.
-    Report: ``table, rows, output, unfit_columns, error``.
+    A table is a file ``<table>.csv`` or a folder ``<table>.csv`` of parts. Values that do not fit are
+    counted while a table is written; only a table that has any is written again, with the text of
+    these columns. Report: ``table, rows, output, unfit_columns, error``.
     """
     below = F.regexp_extract("path", re.escape(in_dir.rstrip("/")) + "/+([^/]+)", 1)
     found = source_manifest(spark, in_dir, "*.csv").select(below.alias("name")).distinct()
-    report = []
     # One name per table, not per file.
-    for name in sorted(row["name"] for row in found.collect()):
+    names = sorted(row["name"] for row in found.collect())
+
+    def convert(name: str) -> tuple:
         table = name.removesuffix(".csv")
         target = os.path.join(out_dir, f"{table}.parquet")
         try:
-            df, failed = read_omop_csv(spark, os.path.join(in_dir, name), table)
+            csv = OmopCsv.open(spark, os.path.join(in_dir, name), table)
             seen = Observation()
-            df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
-            report.append((table, seen.get["rows"], target, sorted(failed), None))
+            counts = [c.alias(n) for n, c in csv.unfit().items()]
+            raw = csv.raw.observe(seen, F.count(F.lit(1)).alias("rows of the table"), *counts)
+            csv.typed([], raw).write.mode("overwrite").parquet(target)
+            counted = dict(seen.get)
+            rows = counted.pop("rows of the table")
+            failed = sorted(n for n, count in counted.items() if count)
+            if set(failed) - {BROKEN}:
+                csv.typed(failed).write.mode("overwrite").parquet(target)
+            return table, rows, target, failed, None
         except Exception as error:  # the next table must still be converted
-            report.append((table, None, None, [], f"{type(error).__name__}: {error}"))
+            return table, None, None, [], f"{type(error).__name__}: {error}"
+
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        report = list(pool.map(convert, names))
     schema = "table string, rows bigint, output string, unfit_columns array<string>, error string"
     return spark.createDataFrame(report, schema)
 

@@ -1,10 +1,13 @@
+import csv as plain_csv
+import io
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from medloom.functions.documents import path
-from medloom.sources import readers, writers
+from medloom.sources import csv, readers, writers
 
 
 def test_bundle_and_resource_files(spark, tmp_path):
@@ -54,14 +57,14 @@ def test_convert_dir_goes_on_after_an_error(spark, tmp_path, monkeypatch):
     (source / "extra.csv").mkdir()
     (source / "extra.csv" / "1.csv").write_text("a\n1\n")
     (source / "extra.csv" / "2.csv").write_text("a\n2\n")
-    read = readers.read_omop_csv
+    opened = readers.OmopCsv.open
 
     def fail_on_broken(spark, path_, table):
         if table == "broken":
             raise OSError("cannot read")
-        return read(spark, path_, table)
+        return opened(spark, path_, table)
 
-    monkeypatch.setattr(readers, "read_omop_csv", fail_on_broken)
+    monkeypatch.setattr(readers.OmopCsv, "open", fail_on_broken)
     report = {r.table: r for r in readers.convert_omop_dir(spark, str(source), str(target)).collect()}
     assert {t: (r.rows, r.error) for t, r in report.items()} == {
         "person": (2, None), "broken": (None, "OSError: cannot read"), "extra": (2, None),
@@ -150,3 +153,60 @@ def test_csv_broken_records_are_counted_or_fail(spark, tmp_path):
     assert failed == {readers.BROKEN: 2} and df.count() == 3
     with pytest.raises(Exception, match="(?i)malformed"):
         readers.read_omop_csv(spark, str(tmp_path / "person.csv"), "person", multi_line=False)
+
+
+def random_csv(rng, rows):
+    """Text of a file, and its cells as Python's own reader takes them."""
+    pieces = ["plain", "", "a,b", 'say ""hi""', "two\nlines", "\n\n", '""', "x\r\ny", " padded ", "é😀", ",", "\n"]
+    lines = ["id,a,b"]
+    for k in range(rows):
+        cells = [rng.choice(pieces) + rng.choice(pieces) for _ in range(2)]
+        quoted = [f'"{c}"' if set(c) & set(',"\n\r') or rng.random() < 0.3 else c for c in cells]
+        lines.append(f"{k},{','.join(quoted)}")
+        if rng.random() < 0.1:
+            lines.append(rng.choice(["", "  ", "\t"]))
+    return rng.choice(["\n", "\r\n"]).join(lines) + rng.choice(["", "\n"])
+
+
+@pytest.mark.parametrize("size, few", [(150, True), (1500, True), (1500, False), (1 << 20, True)])
+def test_quoted_csv_is_read_by_many_tasks(spark, tmp_path, monkeypatch, size, few):
+    """Splits of any size, starting inside cells or not, give the records of a plain reader."""
+    if not few:
+        monkeypatch.setattr(csv, "BROADCAST_SPLITS", 0)
+    rng = random.Random(size)
+    folder, want = tmp_path / "extra.csv", []
+    folder.mkdir()
+    for k, rows in enumerate((0, 1, 40, 160)):
+        text = random_csv(rng, rows)
+        (folder / f"{k}.csv").write_bytes(text.encode())
+        cells = list(plain_csv.reader(io.StringIO(text, newline=""), strict=True))
+        want += [tuple(c or None for c in row) for row in cells[1:] if row and (len(row) == 3)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        records = csv.csv_records(spark, str(folder))
+        df, failed = readers.read_omop_csv(spark, str(folder), "extra")
+        got = [tuple(r) for r in df.collect()]
+        if size < 10_000:
+            assert records.rdd.getNumPartitions() >= 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert failed == {}
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_a_quote_that_is_never_closed(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,2\n3,"x\n4,5\n')
+    records = csv.csv_records(spark, str(tmp_path / "t.csv")).collect()
+    assert sorted((r.record, r.header) for r in records) == [("1,2", False), ('3,"x\n4,5', False), ("a,b", True)]
+
+
+def test_unfit_columns_are_found_while_writing(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "person.csv").write_text('person_id,year_of_birth,month_of_birth\n1,1950,1\n2,"19\n60",2\n3,x,\n')
+    (row,) = readers.convert_omop_dir(spark, str(source), str(tmp_path / "out")).collect()
+    assert (row.table, row.rows, row.unfit_columns, row.error) == ("person", 3, ["year_of_birth"], None)
+    back = spark.read.parquet(row.output)
+    assert [tuple(r) for r in back.orderBy("person_id").collect()] == [(1, "1950", 1), (2, "19\n60", 2), (3, "x", None)]
