@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from medloom.streaming.folding import FOLD_AT, fold_when_many
 from medloom.streaming.landing import ONCE, batch_folder
 
 # Job states from first to last; decides between equal times.
@@ -103,21 +104,23 @@ def job_latest_status(df: DataFrame) -> DataFrame:
 
 
 def stream_job_status(
-    stream: DataFrame, out: str, checkpoint: str, trigger: dict = ONCE
+    stream: DataFrame, out: str, checkpoint: str, trigger: dict = ONCE, fold_at: int = FOLD_AT
 ) -> StreamingQuery:
-    """Changed jobs of each micro-batch; ``job_latest_status`` over ``out`` is the state.
+    """Last status of the jobs in each micro-batch; ``job_latest_status`` over ``out`` is the state.
 
-    Keeps one row per job in the state store (RocksDB, so on disk).
+    The stream keeps no state: what it has written is the state. When ``fold_at`` batches have come
+    together they are folded into one row per job, so neither state rows nor files grow with the
+    number of micro-batches. A status that comes late loses against a later one in the fold.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        part = batch_folder(batch.sparkSession, checkpoint, batch_id)
-        batch.write.mode("overwrite").parquet(os.path.join(out, part))
+        spark = batch.sparkSession
+        part = batch_folder(spark, checkpoint, batch_id)
+        job_latest_status(batch).write.mode("overwrite").parquet(os.path.join(out, part))
+        fold_when_many(spark, out, job_latest_status, fold_at)
 
     return (
-        job_latest_status(stream)
-        .writeStream.outputMode("update")
-        .foreachBatch(on_batch)
+        stream.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
