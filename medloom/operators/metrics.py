@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medloom.functions.concepts import named
 from medloom.functions.documents import path
@@ -279,44 +280,157 @@ _OPERATORS = {
 }
 
 
-def calculate_metric(
-    spec: MetricSpec,
-    models: Mapping[str, DataFrame],
-    dims: Sequence[str] = (),
-    grain: str | None = None,
-) -> DataFrame:
-    """Group a model by dimensions and a time grain; column named like the metric."""
+def _chosen(spec: MetricSpec, df: DataFrame) -> DataFrame:
+    """The rows that a metric is about."""
     if spec.type not in _AGGREGATES:
         raise ValueError(f"unknown metric type {spec.type}")
-    df = models[spec.model]
     for field, operator, value in spec.filters:
         if operator not in _OPERATORS:
             raise ValueError(f"unknown operator {operator}")
         typed = F.lit(value).cast(df.schema[field].dataType)
         df = df.filter(_OPERATORS[operator](F.col(field), typed))
+    return df
+
+
+def _day(spec: MetricSpec) -> Column:
+    if not spec.timestamp:
+        raise ValueError(f"metric {spec.name} has no timestamp")
+    return F.col(spec.timestamp).try_cast("timestamp_ntz")
+
+
+def calculate_metric(
+    spec: MetricSpec,
+    models: Mapping[str, DataFrame],
+    dims: Sequence[str] = (),
+    grain: str | None = None,
+) -> DataFrame:
+    """Group a model by dimensions and a time grain; column named like the metric."""
+    df = _chosen(spec, models[spec.model])
     keys: list[Column] = [F.col(d) for d in dims]
     if grain:
-        if not spec.timestamp:
-            raise ValueError(f"metric {spec.name} has no timestamp")
-        moment = F.col(spec.timestamp).try_cast("timestamp_ntz")
-        keys.append(F.date_trunc(grain, moment).cast("date").alias(f"date_{grain}"))
+        keys.append(F.date_trunc(grain, _day(spec)).cast("date").alias(f"date_{grain}"))
     return df.groupBy(*keys).agg(_AGGREGATES[spec.type](F.expr(spec.expr)).alias(spec.name))
 
 
+# What a day keeps of each type of metric, and how days add up.
+_STATES = {
+    "count": {"n": (F.count, F.sum)},
+    "sum": {"total": (F.sum, F.sum)},
+    "average": {"total": (F.sum, F.sum), "n": (F.count, F.sum)},
+    "min": {"least": (F.min, F.min)},
+    "max": {"most": (F.max, F.max)},
+    "count_distinct": {
+        "members": (lambda c: F.bitmap_construct_agg(F.bitmap_bit_position(c)), F.bitmap_or_agg)
+    },
+}
+
+
+def metric_states(spec: MetricSpec, df: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
+    """States of a metric by dimensions and ``day``, from the rows of any days.
+
+    States of further days are added to those kept, and ``roll_up`` gives the metric over all of them
+    without reading the rows again. Distinct counts keep exact sets: a bitmap for each range of
+    32,768 whole numbers. Rows without a time of their own have a null day.
+    """
+    chosen = _chosen(spec, df)
+    value = F.expr(spec.expr)
+    keys = [*[F.col(d) for d in dims], _day(spec).cast("date").alias("day")]
+    if spec.type == "count_distinct":
+        kind = chosen.select(value.alias("v")).schema["v"].dataType
+        if not isinstance(kind, T.IntegralType):
+            raise ValueError("exact sets are kept of whole numbers")
+        keys.append(F.bitmap_bucket_number(value).alias("range"))
+        chosen = chosen.where(value.isNotNull())
+    return chosen.groupBy(*keys).agg(*[make(value).alias(s) for s, (make, _) in _STATES[spec.type].items()])
+
+
+def roll_up(
+    states: DataFrame, spec: MetricSpec, dims: Sequence[str] = (), grain: str | None = None
+) -> DataFrame:
+    """The metric over the days of ``states``, as ``calculate_metric`` gives it over their rows.
+
+    ``dims`` may be some of those that the states were made with. A group whose values are all null
+    has no distinct members and no row here.
+    """
+    keys = [F.col(d) for d in dims]
+    if grain:
+        keys.append(F.date_trunc(grain, F.col("day")).cast("date").alias(f"date_{grain}"))
+    ranges = [F.col("range")] if spec.type == "count_distinct" else []
+    named = [*dims, *([f"date_{grain}"] if grain else [])]
+    merged = states.groupBy(*keys, *ranges).agg(*[add(s).alias(s) for s, (_, add) in _STATES[spec.type].items()])
+    if spec.type == "count_distinct":
+        merged = merged.groupBy(*named).agg(F.sum(F.bitmap_count("members")).alias("n"))
+    result = F.try_divide(F.col("total").cast("double"), F.col("n")) if spec.type == "average" else F.col(merged.columns[-1])
+    return merged.select(*named, result.alias(spec.name))
+
+
 # --- content hash --------------------------------------------------------------------
 
 
+def _row_text(columns: Sequence[str]) -> Column:
+    """Each cell with its length before it, so that no two rows give one text; null has none."""
+    text = [F.col(c).cast("string") for c in columns]
+    cells = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]
+    return F.concat(*cells)
+
+
+def _row_hash(columns: Sequence[str]) -> Column:
+    return F.conv(F.md5(_row_text(columns)).substr(1, 13), 16, 10).cast("decimal(20,0)")
+
+
 def dataset_hash(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Row count and an order-free content hash.
 
     Sums 52 bits of the md5 of each row, so equal rows add up instead of cancelling out and
     the result depends neither on row order nor on partitioning.
     """
-    # Each cell with its length before it, so that no two rows give one text; null has none.
-    text = [F.col(c).cast("string") for c in columns]
-    cells = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]
-    part = F.conv(F.md5(F.concat(*cells)).substr(1, 13), 16, 10).cast("decimal(20,0)")
     return df.agg(
         _rows().alias("row_count"),
-        F.coalesce(F.sum(part), F.lit(0)).cast("string").alias("content_hash"),
+        F.coalesce(F.sum(_row_hash(columns)), F.lit(0)).cast("string").alias("content_hash"),
     )
+
+
+# --- hash tree -----------------------------------------------------------------------
+
+
+def hash_tree(df: DataFrame, columns: Sequence[str], key: Sequence[str], levels: int = 3) -> DataFrame:
+    """``range, row_count, content_hash``: the hash of each range of keys, and of ranges of ranges.
+
+    A range is the first hex digits of the md5 of the key: none for the whole dataset, up to
+    ``levels`` of them. Hashes are sums over rows, so a range's is the sum of its sixteen parts, and
+    the whole's is that of ``dataset_hash`` over the same columns.
+    """
+    leaf = F.substring(F.md5(_row_text(key)), 1, levels)
+    leaves = df.groupBy(leaf.alias("leaf")).agg(_rows().alias("n"), F.sum(_row_hash(columns)).alias("hash"))
+    # From here on there are at most 16 ** levels rows.
+    ranges = F.explode(F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda n: F.substring("leaf", F.lit(1), n)))
+    return leaves.select(ranges.alias("range"), "n", "hash").groupBy("range").agg(
+        F.sum("n").alias("row_count"), F.sum("hash").cast("string").alias("content_hash")
+    )
+
+
+def differing_ranges(a: DataFrame, b: DataFrame, levels: int = 3) -> tuple[list[str], int]:
+    """The smallest ranges in which two hash trees differ, and how many ranges were compared.
+
+    Goes down from the whole: the parts of a range that is equal on both sides are not looked at.
+    """
+    differing, compared = [""], 0
+    for level in range(levels + 1):
+        parts = [r + d for r in differing for d in "0123456789abcdef"] if level else [""]
+        compared += len(parts)
+        left, right = (
+            t.where(F.col("range").isin(parts)).select("range", F.struct("row_count", "content_hash").alias(side))
+            for t, side in ((a, "a"), (b, "b"))
+        )
+        both = left.join(right, "range", "full").where(~F.col("a").eqNullSafe(F.col("b")))
+        differing = sorted(r["range"] for r in both.select("range").collect())
+        if not differing:
+            break
+    return differing, compared
+
+
+def in_ranges(df: DataFrame, key: Sequence[str], ranges: Sequence[str]) -> DataFrame:
+    """The rows whose keys lie in some ranges of one length."""
+    if not ranges:
+        return df.where(F.lit(False))
+    return df.where(F.substring(F.md5(_row_text(key)), 1, len(ranges[0])).isin(list(ranges)))
