@@ -36,11 +36,6 @@ def accepted_jobs(requests: DataFrame) -> DataFrame:
     )
 
 
-def rejected_requests(requests: DataFrame) -> DataFrame:
-    bad = validate_bundle(requests).filter(F.col("error").isNotNull())
-    return bad.select("request_id", "error", "requested_at")
-
-
 def job_status(jobs: DataFrame, manifest: DataFrame, prefix: str, now: Column) -> DataFrame:
     """``processing`` for jobs whose bundle has landed, else ``not found``.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom.functions.clinical import (
@@ -16,6 +16,7 @@ from medloom.functions.clinical import (
     observation_value_display,
 )
 from medloom.functions.concepts import named
+from medloom.operators.lineage import lineage_columns
 from medloom.schemas import (
     API_ENCOUNTER_CONTRACT,
     API_OBSERVATION_CONTRACT,
@@ -57,6 +58,8 @@ def api_encounter(stg_encounter: DataFrame, api_patient: DataFrame) -> DataFrame
 def api_observation(
     stg_observation: DataFrame, api_patient: DataFrame, stg_encounter: DataFrame
 ) -> DataFrame:
+    """The encounters are joined first: tables bucketed by their id (``write_bucketed``) meet without
+    a shuffle of the observations."""
     patients = api_patient.select("patient_id", F.col("full_name").alias("patient_name"))
     encounters = stg_encounter.select(
         "encounter_id", F.col("class_display").alias("encounter_class")
@@ -81,8 +84,8 @@ def api_observation(
         }
     )
     return (
-        observations.join(patients, "patient_id", "left")
-        .join(encounters, "encounter_id", "left")
+        observations.join(encounters, "encounter_id", "left")
+        .join(patients, "patient_id", "left")
         .select(*API_OBSERVATION_CONTRACT)
     )
 
@@ -122,8 +125,14 @@ def dim_condition(
     return concepts.withColumn("condition_name", named("condition_concept_id", names))
 
 
-def dim_patient(flat_patient: DataFrame, person: DataFrame) -> DataFrame:
-    """One row per person, with the FHIR side where it exists."""
+def dim_patient(
+    flat_patient: DataFrame, person: DataFrame, ingestion_ts: Column | None = None, **lineage: str
+) -> DataFrame:
+    """One row per person, with the FHIR side where it exists.
+
+    With an ``ingestion_ts`` the lineage columns are added; the origin names the sides a row has,
+    ``lineage`` goes to ``lineage_columns``.
+    """
     gender = (
         F.when(F.col("gender_concept_id") == 8507, "male")
         .when(F.col("gender_concept_id") == 8532, "female")
@@ -139,7 +148,7 @@ def dim_patient(flat_patient: DataFrame, person: DataFrame) -> DataFrame:
             ).alias("f")
         )
     )
-    return person.join(fhir, "person_id", "left").select(
+    rows = person.join(fhir, "person_id", "left").select(
         "person_id",
         F.col("f.patient_id").alias("patient_id"),
         gender.alias("gender"),
@@ -151,6 +160,10 @@ def dim_patient(flat_patient: DataFrame, person: DataFrame) -> DataFrame:
         F.col("f.city").alias("city"),
         F.col("f.state").alias("state"),
     )
+    if ingestion_ts is None:
+        return rows
+    origin = F.when(F.col("patient_id").isNull(), "omop").otherwise("omop+fhir")
+    return lineage_columns(rows, ingestion_ts, origin, model="dim_patient", **lineage)
 
 
 def fact_chronic_condition(

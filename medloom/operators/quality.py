@@ -228,21 +228,34 @@ def dq_freshness(df: DataFrame, ts: str, now: str, max_age_days: int = 7) -> Dat
 def dq_referential_integrity(
     frames: Mapping[str, DataFrame], relations: Sequence[tuple[str, str, str, str]]
 ) -> DataFrame:
-    """Orphans per relation ``(fact, fk, dim, pk)``; null references do not count."""
+    """Orphans per relation ``(fact, fk, dim, pk)``; null references do not count.
+
+    Keys are compared as text. A fact is read and shuffled once for all of its relations, as counts
+    per key, so a hot key joins as one row.
+    """
     results = []
-    for fact, fk, dim, pk in relations:
-        # Count per key first: a hot key joins as one row, and one shuffle serves both.
-        keys = frames[fact].groupBy(F.col(fk).alias("key")).agg(_rows().alias("n"))
-        known = frames[dim].select(F.col(pk).alias("key")).distinct().withColumn("known", F.lit(1))
+    for fact in dict.fromkeys(r[0] for r in relations):
+        own = list(enumerate(r[1:] for r in relations if r[0] == fact))
+
+        def keyed(number: int, column: str) -> Column:
+            return F.struct(F.lit(number).alias("relation"), F.col(column).cast("string").alias("key"))
+
+        keys = frames[fact].select(F.inline(F.array(*[keyed(k, fk) for k, (fk, _, _) in own])))
+        known = [frames[dim].select(keyed(k, pk).alias("r")).select("r.*") for k, (_, dim, pk) in own]
+        known = reduce(DataFrame.unionAll, known).distinct().withColumn("known", F.lit(1))
+        counted = keys.groupBy("relation", "key").agg(_rows().alias("n"))
         orphan = F.col("key").isNotNull() & F.col("known").isNull()
-        counts = keys.join(known, "key", "left").agg(
-            F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).alias("v"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        )
-        subject = f"{fact}.{fk}->{dim}.{pk}"
-        results.append(
-            _report(counts, _result("referential_integrity", subject, F.col("v"), F.col("n")))
-        )
+        sums = []
+        for k, _ in own:
+            mine = F.col("relation") == k
+            sums.append(F.coalesce(F.sum(F.when(mine & orphan, F.col("n"))), F.lit(0)).alias(f"v{k}"))
+            sums.append(F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0)).alias(f"n{k}"))
+        counts = counted.join(known, ["relation", "key"], "left").agg(*sums)
+        checks = [
+            _result("referential_integrity", f"{fact}.{fk}->{dim}.{pk}", F.col(f"v{k}"), F.col(f"n{k}"))
+            for k, (fk, dim, pk) in own
+        ]
+        results.append(_report(counts, *checks))
     return union_all(results)
 
 

@@ -92,9 +92,9 @@ _INPUTS: dict[str, str] = {
                CASE WHEN l_linenumber % 4 = 3 THEN l_returnflag END AS value_codeable_code,
                CASE WHEN l_linenumber % 4 = 3 THEN 'Flag ' || l_returnflag END
                    AS value_codeable_display,
-               CASE WHEN l_suppkey % 5 <> 0 THEN 10.0::DOUBLE END AS reference_range_low,
-               CASE WHEN l_suppkey % 5 <> 0 THEN 40.0::DOUBLE END AS reference_range_high,
-               CASE WHEN l_suppkey % 5 <> 0 THEN 'mg/dL' END AS reference_range_unit,
+               CASE WHEN l_suppkey % 10 NOT IN (0, 5, 7) THEN 10.0::DOUBLE END AS reference_range_low,
+               CASE WHEN l_suppkey % 10 NOT IN (0, 3, 5) THEN 40.0::DOUBLE END AS reference_range_high,
+               CASE WHEN l_suppkey % 10 NOT IN (0, 5, 7) THEN 'mg/dL' END AS reference_range_unit,
                CASE l_returnflag WHEN 'R' THEN 'H' WHEN 'A' THEN 'L' END
                    AS interpretation_code,
                CASE l_returnflag WHEN 'R' THEN 'Flag H' WHEN 'A' THEN 'Flag L' END
@@ -216,13 +216,15 @@ _INPUTS: dict[str, str] = {
                 WHERE o_orderkey % 7 = 0)
         WHERE o_orderkey % 20 NOT BETWEEN 1 AND 6""",
     "line": """
-        SELECT c_custkey % files AS file_no, c_custkey,
-               row_number() OVER (PARTITION BY c_custkey % files ORDER BY c_custkey) AS row_no,
-               CASE WHEN c_custkey % 23 = 1 THEN 'bad' WHEN c_custkey % 29 = 1 THEN 'list'
-                    WHEN c_custkey % 31 = 1 THEN 'untyped'
-                    WHEN c_custkey % 37 = 1 OR c_custkey < 2 * files THEN 'blank'
-                    WHEN c_custkey % 41 = 1 THEN 'bad' ELSE 'ok' END AS kind
-        FROM customer, (SELECT greatest(3, count(*) // 100000) AS files FROM customer)""",
+        SELECT file_no, c_custkey,
+               row_number() OVER (PARTITION BY file_no ORDER BY c_custkey) AS row_no,
+               CASE WHEN file_no % 4 <> 3 AND c_custkey % 23 = 1 THEN 'bad'
+                    WHEN file_no % 4 <> 3 AND c_custkey % 29 = 1 THEN 'list'
+                    WHEN file_no % 4 <> 3 AND c_custkey % 31 = 1 THEN 'untyped'
+                    WHEN c_custkey % 37 = 1 OR c_custkey % 1200000 < 24 THEN 'blank'
+                    WHEN file_no % 4 <> 3 AND c_custkey % 41 = 1 THEN 'bad' ELSE 'ok' END AS kind
+        FROM (SELECT c_custkey, c_custkey % 12 + 12 * (c_custkey // 1200000) AS file_no
+              FROM customer)""",
     "checked": """
         SELECT file_no, c_custkey, row_no, kind,
                CASE kind WHEN 'bad' THEN 'Invalid JSON on line ' || n

@@ -71,49 +71,73 @@ def read_resource_files(m):
     )
 
 
-def _csv(m, df: DataFrame, target: str) -> str:
-    df.write.option("header", "true").csv(target)
+def _csv(df: DataFrame, target: str) -> str:
+    df.write.options(header="true", escape='"', emptyValue="").csv(target)
     return target
 
 
+def _exported(m) -> dict[str, DataFrame]:
+    """The OMOP tables as another system exports them: quotes, commas and line ends inside cells,
+    markers for missing values, whole numbers with a decimal point."""
+    key = F.col("person_id")
+    quoted = F.concat(F.lit('say "'), "person_source_value", F.lit('",\nthen, "" go on'))
+    number = F.col("visit_occurrence_id").cast("string")
+    return {
+        "person": m.person.drop("ingestion_timestamp").withColumns(
+            {
+                "person_source_value": F.when(key % 5 == 0, quoted).otherwise(F.col("person_source_value")),
+                "gender_source_value": F.when(key % 7 == 0, "a,b").otherwise(F.col("gender_source_value")),
+                "race_source_value": F.when(key % 3 == 0, "NA").otherwise(F.col("race_source_value")),
+            }
+        ),
+        "condition_occurrence": m.condition.withColumn(
+            "visit_occurrence_id", F.when(key % 11 == 0, F.concat(number, F.lit(".0"))).otherwise(number)
+        ),
+        "measurement": m.measurement.withColumn(
+            "value_as_number",
+            F.when(key % 13 == 0, "NaN").otherwise(F.col("value_as_number").cast("string")),
+        ),
+    }
+
+
 def read_omop_csv(m):
     """A year that is no number keeps its whole column as text."""
     year = F.col("year_of_birth").cast("string")
-    dirty = m.person.drop("ingestion_timestamp").withColumn(
+    dirty = _exported(m)["person"].withColumn(
         "year_of_birth", F.when(F.col("person_id") % 89 == 0, "unknown").otherwise(year)
     )
-    df, failed = readers.read_omop_csv(
-        m.spark, _csv(m, dirty, scratch_dir(m.spark, "csv")), "person"
-    )
+    df, failed = readers.read_omop_csv(m.spark, _csv(dirty, scratch_dir(m.spark, "csv")), "person")
     return df.withColumn("unfit", F.lit(sum(failed.values())).cast("bigint"))
 
 
 def convert_omop_dir(m):
-    """Converted values of all three tables, beside what the report says of the table."""
+    """All converted columns of all three tables, beside what the report says of the table."""
     source, target = scratch_dir(m.spark, "csv"), scratch_dir(m.spark, "omop")
-    _csv(m, m.person.drop("ingestion_timestamp"), f"{source}/person.csv")
-    _csv(m, m.condition, f"{source}/condition_occurrence.csv")
-    _csv(m, m.measurement, f"{source}/measurement.csv")
+    tables = _exported(m)
+    for table, df in tables.items():
+        _csv(df, f"{source}/{table}.csv")
     report = readers.convert_omop_dir(m.spark, source, target).select(
         "table", "rows", F.size("unfit_columns").cast("bigint").alias("unfit"), "error"
     )
-    parts = [
-        ("person", "person_id", "birth_datetime", "gender_concept_id"),
-        ("condition_occurrence", "condition_occurrence_id", "condition_start_date", "condition_concept_id"),
-        ("measurement", "measurement_id", "measurement_date", "measurement_concept_id"),
-    ]
     values = None
-    for table, key, moment, concept in parts:
-        own = m.spark.read.parquet(f"{target}/{table}.parquet").select(
-            F.lit(table).alias("table"),
-            F.col(key).cast("string").alias("id"),
-            F.col(moment).cast("string").alias("moment"),
-            F.col(concept).alias("concept"),
-        )
-        values = own if values is None else values.unionByName(own)
+    for table in tables:
+        own = m.spark.read.parquet(f"{target}/{table}.parquet").withColumn("table", F.lit(table))
+        values = own if values is None else values.unionByName(own, allowMissingColumns=True)
     return values.join(report, "table")
 
 
+# What the export above says, read right.
+_PERSON_READ = """SELECT * EXCLUDE (_ingestion_ts) REPLACE (
+        CASE WHEN person_id % 5 = 0
+             THEN 'say "' || person_source_value || '",' || chr(10) || 'then, "" go on'
+             ELSE person_source_value END AS person_source_value,
+        CASE WHEN person_id % 7 = 0 THEN 'a,b' ELSE gender_source_value END AS gender_source_value,
+        CASE WHEN person_id % 3 <> 0 THEN race_source_value END AS race_source_value)
+    FROM person"""
+_MEASUREMENT_READ = """SELECT * REPLACE (
+        CASE WHEN person_id % 13 <> 0 THEN value_as_number END AS value_as_number) FROM meas"""
+
+
 def write_ndjson(m):
     checked = validation.validate_ndjson(
         readers.read_ndjson_lines(m.spark, ndjson_files(m.spark, m.sf_dir))
@@ -241,25 +265,21 @@ QUERIES: dict[str, Query] = {
     "read_omop_csv": Query(
         read_omop_csv,
         sql(
-            """SELECT * EXCLUDE (_ingestion_ts)
-                      REPLACE (CASE WHEN person_id % 89 = 0 THEN 'unknown'
-                               ELSE year_of_birth::VARCHAR END AS year_of_birth),
-                      (SELECT count(*) FROM person WHERE person_id % 89 = 0) AS unfit
-               FROM person""",
+            f"""SELECT * REPLACE (CASE WHEN person_id % 89 = 0 THEN 'unknown'
+                                  ELSE year_of_birth::VARCHAR END AS year_of_birth),
+                       (SELECT count(*) FROM person WHERE person_id % 89 = 0) AS unfit
+                FROM ({_PERSON_READ})""",
             "person",
         ),
     ),
     "convert_omop_dir": Query(
         convert_omop_dir,
         sql(
-            """SELECT *, count(*) OVER (PARTITION BY "table") AS "rows", 0::BIGINT AS unfit,
-                      NULL::VARCHAR AS error
-               FROM (SELECT 'person' AS "table", person_id::VARCHAR AS id,
-                            birth_datetime AS moment, gender_concept_id AS concept FROM person
-                     UNION ALL SELECT 'condition_occurrence', condition_occurrence_id,
-                            condition_start_date, condition_concept_id FROM cond
-                     UNION ALL SELECT 'measurement', measurement_id, measurement_date,
-                            measurement_concept_id FROM meas)""",
+            f"""SELECT *, count(*) OVER (PARTITION BY "table") AS "rows", 0::BIGINT AS unfit,
+                       NULL::VARCHAR AS error
+                FROM (SELECT 'person' AS "table", * FROM ({_PERSON_READ})
+                      UNION ALL BY NAME SELECT 'condition_occurrence' AS "table", * FROM cond
+                      UNION ALL BY NAME SELECT 'measurement' AS "table", * FROM ({_MEASUREMENT_READ}))""",
             "person",
             "cond",
             "meas",

@@ -56,10 +56,10 @@ def split_valid_quarantine(m):
 
 
 def split_files(m):
-    """Nothing gets through: every file holds a bad line. The first error is kept."""
+    """Lines that get through by file, and the first error of the files that do not."""
     valid, failed = validation.split_valid_quarantine_files(_checked(m))
-    passed = valid.agg(F.count(F.lit(1))).scalar()
-    return failed.select(file_no(), "error", passed.alias("passed_lines"))
+    passed = valid.groupBy(file_no()).agg(F.count(F.lit(1)).alias("passed_lines"))
+    return failed.select(file_no(), "error").unionByName(passed, allowMissingColumns=True)
 
 
 def _requests(m) -> DataFrame:
@@ -188,7 +188,8 @@ QUERIES: dict[str, Query] = {
         split_files,
         sql(
             """SELECT file_no, arg_min(error, row_no) FILTER (WHERE error IS NOT NULL) AS error,
-                      0::BIGINT AS passed_lines FROM checked GROUP BY 1""",
+                      CASE WHEN count(error) = 0 THEN count(*) END AS passed_lines
+               FROM checked GROUP BY 1""",
             "checked",
         ),
     ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medloom.functions.clinical import age_years
-from medloom.operators import quality
+from medloom.operators import drift, quality
 from medloom.plans.catalog.base import Query, sql
 from medloom.plans.fixtures import AS_OF, run_log
 from medloom.schemas import API_ENCOUNTER_CONTRACT, API_PATIENT_CONTRACT
@@ -76,6 +76,22 @@ def _ages(m):
     return m.stg_patient.select(age.alias("age"))
 
 
+_MAX_GAP = 0.05
+
+
+def dq_drift(m):
+    """Ages of each gender against the profile, from sketches of gender and state that are merged."""
+    age = age_years(F.col("birth_date"), F.lit(None).cast("date"), AS_OF)
+    people = m.stg_patient.select("gender", "state", age.alias("age"))
+    by_state = drift.distribution_sketches(people, "age", ["gender", "state"])
+    merged = drift.merge_sketches(by_state, ["gender"])
+    return drift.dq_drift(merged, F.concat(F.lit("age of "), "gender"), _MAX_GAP)
+
+
+# The same points, with exact shares.
+_POINTS = ", ".join(f"({value!r}, {share!r})" for value, share in drift.profile_points())
+
+
 def dq_contract(m):
     return quality.dq_contract(m.api_patient, API_PATIENT_CONTRACT)
 
@@ -311,6 +327,19 @@ QUERIES: dict[str, Query] = {
             "cond",
         ),
     ),
+    "dq_drift": Query(
+        dq_drift,
+        sql(
+            f"""SELECT 'distribution_drift' AS "check", 'age of ' || gender AS subject,
+                       (max(abs(known - share)) > {_MAX_GAP})::BIGINT AS violations, any_value(n) AS total,
+                       max(abs(known - share)) <= {_MAX_GAP} AS passed
+                FROM (SELECT gender, share, count(*) AS n,
+                             count(*) FILTER (WHERE 2025 - year(birth_date) <= at) / count(*) AS known
+                      FROM pat, (VALUES {_POINTS}) AS points(at, share) GROUP BY gender, share)
+                GROUP BY gender""",
+            "pat",
+        ),
+    ),
     "dq_distribution": Query(
         lambda m: quality.dq_distribution(_ages(m), "age"),
         sql(

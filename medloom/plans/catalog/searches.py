@@ -37,7 +37,7 @@ _OBS_WHERE = """o_custkey::VARCHAR LIKE '4%' AND code IN ('2339-0', '8867-4')
 
 def get_by_id(resource: str, id_: str):
     def run(m):
-        found = search.get_by_id(m.raw(resource), id_)
+        found = search.get_by_id(m.find(resource, {"id": id_}), id_)
         return found.select(path(".id").alias("id"), F.to_json("record_content").alias("document"))
 
     return run
@@ -47,7 +47,7 @@ def get_observation(m):
     """Asks for the smallest id there is."""
     raw = m.raw("observations")
     smallest = raw.agg(F.min(path(".id"))).first()[0]
-    return search.get_by_id(raw, smallest).select(
+    return search.get_by_id(m.find("observations", {"id": smallest}), smallest).select(
         path(".id").alias("id"), path(".status").alias("status"), path(".issued").alias("issued")
     )
 
@@ -90,7 +90,8 @@ def org_scoped_by_id(m):
 
 
 def search_bundle(m):
-    bundle = search.search_bundle(m.raw("encounters"), "encounter", _ENC_PARAMS)
+    found = m.find("encounters", _ENC_PARAMS)
+    bundle = search.search_bundle(found, "encounter", _ENC_PARAMS)
     doc = F.try_parse_json("bundle")
     entries = F.try_variant_get(doc, "$.entry", "array<variant>")
     return bundle.select(
@@ -103,7 +104,9 @@ def search_bundle(m):
 
 
 def _enc_search(params: dict[str, str], **kwargs):
-    return lambda m: _encounters(search.search_encounters(m.raw("encounters"), params, **kwargs))
+    return lambda m: _encounters(
+        search.search_encounters(m.find("encounters", params, **kwargs), params, **kwargs)
+    )
 
 
 def _page_sql(columns: str, source: str, where: str, key: str, count: int, offset: int = 0) -> str:
@@ -146,7 +149,7 @@ QUERIES: dict[str, Query] = {
     ),
     "get_encounter_by_id": Query(
         lambda m: _encounters(
-            search.get_by_id(m.raw("encounters"), "77").select(
+            search.get_by_id(m.find("encounters", {"id": "77"}), "77").select(
                 path(".id").alias("id"), path(".period.start").alias("sort_key"), "record_content"
             )
         ),
@@ -170,7 +173,9 @@ QUERIES: dict[str, Query] = {
         _enc_sql("strftime(period_start, '%Y-%m') = '1998-10'", 1000),
     ),
     "search_observations": Query(
-        lambda m: _observations(search.search_observations(m.raw("observations"), _OBS_PARAMS)),
+        lambda m: _observations(
+            search.search_observations(m.find("observations", _OBS_PARAMS), _OBS_PARAMS)
+        ),
         _obs_sql(_OBS_WHERE, 40, 10),
     ),
     "search_patients": Query(
@@ -211,7 +216,9 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "search_total": Query(
-        lambda m: search.search_total(m.raw("observations"), "observation", _OBS_PARAMS),
+        lambda m: search.search_total(
+            m.find("observations", _OBS_PARAMS), "observation", _OBS_PARAMS
+        ),
         sql(f"SELECT count(*) AS total FROM obs WHERE {_OBS_WHERE}", "obs"),
     ),
     "paginate": Query(
@@ -241,21 +248,23 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "patient_encounters": Query(
-        lambda m: _encounters(search.patient_encounters(m.raw("encounters"), "12")),
+        lambda m: _encounters(search.patient_encounters(m.find("encounters", {"patient": "12"}), "12")),
         _enc_sql("o_custkey::VARCHAR LIKE '12%'"),
     ),
     "patient_observations": Query(
         lambda m: _observations(
-            search.patient_observations(m.raw("observations"), "12", code="39156-5", count=60)
+            search.patient_observations(
+                m.find("observations", {"patient": "12"}), "12", code="39156-5", count=60
+            )
         ),
         _obs_sql("o_custkey::VARCHAR LIKE '12%' AND code = '39156-5'", 60),
     ),
     "vital_signs": Query(
-        lambda m: _observations(search.vital_signs(m.raw("observations"), "7")),
+        lambda m: _observations(search.vital_signs(m.find("observations", {"patient": "7"}), "7")),
         _obs_sql("o_custkey::VARCHAR LIKE '7%' AND category_code = 'vital-signs'"),
     ),
     "lab_results": Query(
-        lambda m: _observations(search.lab_results(m.raw("observations"), "7", 25, 5)),
+        lambda m: _observations(search.lab_results(m.find("observations", {"patient": "7"}), "7", 25, 5)),
         _obs_sql("o_custkey::VARCHAR LIKE '7%' AND category_code = 'laboratory'", 25, 5),
     ),
     "to_searchset_bundle": Query(

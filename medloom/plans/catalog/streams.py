@@ -12,6 +12,7 @@ from medloom.plans.catalog.base import Query, sql
 from medloom.plans.catalog.ingest import file_no
 from medloom.plans.landing import ndjson_files
 from medloom.session import scratch_dir
+from medloom.sources.readers import read_ndjson_lines
 
 
 def _event_stream(m) -> DataFrame:
@@ -32,34 +33,41 @@ def stream_validate_landing(m):
         m.spark, landing, out, scratch_dir(m.spark, "checkpoint"), glob="part-*"
     ).awaitTermination()
     failed = m.spark.read.schema("source_file string, error string").json(f"{out}/quarantine")
-    return failed.select(file_no(), "error")
+    passed = read_ndjson_lines(m.spark, f"{out}/processed", numbered=False)
+    doc = F.try_parse_json("value")
+    # Every part of a file bears the name of the part that was uploaded; the folder above it is gone.
+    kept = passed.select(path(".id", doc=doc).alias("id"), path(".meta", "variant", doc).isNotNull().alias("has_meta"))
+    return failed.select(file_no(), "error").unionByName(kept, allowMissingColumns=True)
 
 
 def stream_raw_ingest(m):
-    """Files arrive in several micro-batches of two queries; every line is in the table once."""
-    table = scratch_dir(m.spark, "raw")
-    # File names are part-<number>...: one query takes the even numbers, the other the odd ones.
-    for numbers in ("02468", "13579"):
+    """Files arrive in several micro-batches; a second query finds all of them in the ledger but for
+    those that the first one was not shown. Every line is in the table once."""
+    table, ledger = scratch_dir(m.spark, "raw"), scratch_dir(m.spark, "ledger")
+    # File names are part-<number>...: the first query sees those of even numbers.
+    for numbers in ("[02468]", "?"):
         streaming.stream_raw_ingest(
             m.spark,
             ndjson_files(m.spark, m.sf_dir),
             table,
             "patients",
             scratch_dir(m.spark, "checkpoint"),
-            glob=f"part-????[{numbers}]*",
+            glob=f"part-????{numbers}*",
             max_files=2,
+            ledger=ledger,
         ).awaitTermination()
-    return m.spark.read.parquet(table).select(
+    return streaming.read_loaded(m.spark, table, ledger).select(
         file_no(), F.col("source_file_row_number").alias("row_no"), path(".id").alias("id")
     )
 
 
 def stream_bundle_ingest(m):
+    """Requests with an error come back twice; after the third receive they are dead letters."""
     requests, out = scratch_dir(m.spark, "requests"), scratch_dir(m.spark, "bundles")
     fixtures.bundle_requests(m.spark, m.sf_dir).write.json(requests)
-    streaming.stream_bundle_ingest(
-        m.spark, requests, out, scratch_dir(m.spark, "checkpoint")
-    ).awaitTermination()
+    checkpoint = scratch_dir(m.spark, "checkpoint")
+    for _ in range(3):
+        streaming.stream_bundle_ingest(m.spark, requests, out, checkpoint).awaitTermination()
     raw = m.spark.read.parquet(f"{out}/raw").select(
         "request_id",
         "organization_id",
@@ -68,9 +76,10 @@ def stream_bundle_ingest(m):
         "resource_type",
         path(".id").alias("id"),
         F.lit(None).cast("string").alias("error"),
+        F.lit(None).cast("bigint").alias("receives"),
     )
     dead = m.spark.read.schema(
-        "request_id string, organization_id string, requested_at timestamp_ntz, error string"
+        "request_id string, organization_id string, requested_at timestamp_ntz, error string, receives bigint"
     ).json(f"{out}/dead_letter").drop("run", "batch_id")
     return raw.unionByName(dead, allowMissingColumns=True)
 
@@ -119,8 +128,13 @@ QUERIES: dict[str, Query] = {
     "stream_validate_landing": Query(
         stream_validate_landing,
         sql(
-            """SELECT file_no, arg_min(error, row_no) FILTER (WHERE error IS NOT NULL) AS error
-               FROM checked GROUP BY 1""",
+            """SELECT * FROM (
+                   SELECT file_no, arg_min(error, row_no) FILTER (WHERE error IS NOT NULL) AS error,
+                          NULL::VARCHAR AS id, NULL::BOOLEAN AS has_meta FROM checked GROUP BY 1)
+               WHERE error IS NOT NULL
+               UNION ALL
+               SELECT NULL, NULL, c_custkey::VARCHAR, true FROM checked
+               WHERE file_no NOT IN (SELECT file_no FROM checked WHERE error IS NOT NULL)""",
             "checked",
         ),
     ),
@@ -137,9 +151,9 @@ QUERIES: dict[str, Query] = {
         stream_bundle_ingest,
         sql(
             f"""SELECT request_id, organization_id, requested_at, entry_position, resource_type,
-                       id, NULL::VARCHAR AS error FROM req_entry
+                       id, NULL::VARCHAR AS error, NULL::BIGINT AS receives FROM req_entry
                 UNION ALL SELECT request_id, organization_id, requested_at, NULL, NULL, NULL,
-                       {_BUNDLE_ERROR} FROM req WHERE o_orderkey % 20 BETWEEN 1 AND 6""",
+                       {_BUNDLE_ERROR}, 3 FROM req WHERE o_orderkey % 20 BETWEEN 1 AND 6""",
             "req_entry",
         ),
     ),

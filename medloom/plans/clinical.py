@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from medloom.functions.documents import path, ref_id
 from medloom.operators import marts, staging
 from medloom.plans import fixtures
-from medloom.plans.landing import raw_table
+from medloom.plans.landing import bucketed_table, lookup_table, raw_table
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,10 @@ class Clinical:
     def raw(self, name: str) -> DataFrame:
         return raw_table(self.spark, self.sf_dir, name)
 
+    def find(self, name: str, params: Mapping[str, str], exact_patient: bool = False) -> DataFrame:
+        """The raw documents of the files that can match a look-up or search."""
+        return lookup_table(self.spark, self.sf_dir, name).pruned(params, exact_patient)
+
     @cached_property
     def stg_patient(self) -> DataFrame:
         return staging.stg_patient(self.raw("patients"))
@@ -49,6 +54,15 @@ class Clinical:
     def api_observation(self) -> DataFrame:
         return marts.api_observation(self.stg_observation, self.api_patient, self.stg_encounter)
 
+    @cached_property
+    def api_observation_colocated(self) -> DataFrame:
+        """The observation mart from tables in buckets of the encounter id."""
+        staged = {"observations": self.stg_observation, "encounters": self.stg_encounter}
+        observations, encounters = (
+            bucketed_table(self.spark, self.sf_dir, name, df, "encounter_id") for name, df in staged.items()
+        )
+        return marts.api_observation(observations, self.api_patient, encounters)
+
     @cached_property
     def flat_patient(self) -> DataFrame:
         return staging.flatten_patient(self.raw("patients"), F.lit(fixtures.INGESTED_AT))
@@ -67,7 +81,8 @@ class Clinical:
 
     @cached_property
     def dim_patient(self) -> DataFrame:
-        return marts.dim_patient(self.flat_patient, self.person)
+        ingested = F.lit(self.as_of).cast("timestamp_ntz")
+        return marts.dim_patient(self.flat_patient, self.person, ingested, pipeline_run_id="run-1")
 
     @cached_property
     def fact_chronic(self) -> DataFrame:

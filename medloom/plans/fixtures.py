@@ -225,7 +225,9 @@ def observation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.col("l_partkey") % 3
     group = (F.col("l_partkey") + F.col("l_suppkey")) % 9
     value = F.col("l_linenumber") % 4
-    ranged = F.col("l_suppkey") % 5 != 0
+    # Most ranges have both bounds, some only one.
+    bound = F.col("l_suppkey") % 10
+    ranged, has_low, has_high = bound % 5 != 0, bound != 7, bound != 3
     period = F.col("l_partkey") % 10 == 0
     category = _pick(
         group,
@@ -275,8 +277,10 @@ def observation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ranged,
             F.array(
                 F.struct(
-                    F.struct(F.lit(10.0).alias("value"), F.lit("mg/dL").alias("unit")).alias("low"),
-                    F.struct(F.lit(40.0).alias("value")).alias("high"),
+                    F.when(
+                        has_low, F.struct(F.lit(10.0).alias("value"), F.lit("mg/dL").alias("unit"))
+                    ).alias("low"),
+                    F.when(has_high, F.struct(F.lit(40.0).alias("value"))).alias("high"),
                 )
             ),
         ).alias("referenceRange"),
@@ -487,16 +491,35 @@ def upload_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ndjson_lines(spark: SparkSession, sf_dir: str, files: int) -> DataFrame:
-    """Patient documents as lines, with defects: ``file_no, c_custkey, value``."""
+# Keys are dealt to this many files until each holds LINES_PER_FILE lines, then to as many more.
+FILES = 12
+LINES_PER_FILE = 100_000
+
+
+def ndjson_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patient documents as lines of uploaded files: ``file_no, c_custkey, value``.
+
+    The key alone decides file and defects. Every file begins with two blank lines; in one of four
+    files every other line is good.
+    """
     docs = patient_documents(spark, sf_dir).withColumn("c_custkey", F.col("id").cast("bigint"))
-    key = F.col("c_custkey")
+    key, round_ = F.col("c_custkey"), FILES * LINES_PER_FILE
+    file_no = key % FILES + FILES * F.floor(key / round_)
+    clean = file_no % 4 == 3
     line = (
-        F.when(key % 23 == 1, "bad_json")
-        .when(key % 29 == 1, "[1]")
-        .when(key % 31 == 1, F.concat(F.lit('{"id":"'), F.col("id"), F.lit('"}')))
-        .when((key % 37 == 1) | (key < 2 * files), "  ")
-        .when(key % 41 == 1, F.concat(F.col("value"), F.lit(" trailing")))
+        F.when(~clean & (key % 23 == 1), "bad_json")
+        .when(~clean & (key % 29 == 1), "[1]")
+        .when(~clean & (key % 31 == 1), F.concat(F.lit('{"id":"'), F.col("id"), F.lit('"}')))
+        .when((key % 37 == 1) | (key % round_ < 2 * FILES), "  ")
+        .when(~clean & (key % 41 == 1), F.concat(F.col("value"), F.lit(" trailing")))
         .otherwise(F.col("value"))
     )
-    return docs.select((key % files).alias("file_no"), "c_custkey", line.alias("value"))
+    return docs.select(file_no.alias("file_no"), "c_custkey", line.alias("value"))
+
+
+def uploaded_lines(docs: DataFrame) -> DataFrame:
+    """``value``: all documents as lines, with a broken or a blank line after some of them."""
+    dice = F.pmod(F.xxhash64("id"), F.lit(97))
+    more = F.when(dice == 0, '{"resourceType":').when(dice == 1, " ").when(dice == 2, "[]")
+    lines = docs.select(F.explode(F.array("value", more)).alias("value"))
+    return lines.where("value IS NOT NULL")

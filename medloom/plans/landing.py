@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.functions.documents import strict_json
+from medloom.operators.validation import validate_ndjson
 from medloom.plans import fixtures
 from medloom.session import configure, scratch_dir
-from medloom.sources.writers import write_raw_table
+from medloom.sources.lookup import LookupTable
+from medloom.sources.readers import DEFAULT_NAME_PATTERN, read_ndjson_lines
+from medloom.sources.writers import write_bucketed, write_raw_table
 
 _DOCUMENTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "patients": fixtures.patient_documents,
@@ -23,17 +25,52 @@ _landed: dict[tuple[str, str, str], str] = {}
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``record_content, ingestion_time, source_file, source_file_row_number``.
 
-    Written as shredded VARIANT Parquet, so a query reads only the document paths it uses
-    and filters on paths reach the scan.
+    The documents go the way of uploads: NDJSON files, some of their lines broken, are read,
+    numbered and checked, and the valid lines land. Written as shredded VARIANT Parquet, so a
+    query reads only the document paths it uses and filters on paths reach the scan.
     """
     configure(spark)
 
     def land(target: str) -> None:
-        write_raw_table(as_raw(_DOCUMENTS[name](spark, sf_dir), f"{name}.ndjson"), target)
+        uploads = scratch_dir(spark, "uploads")
+        lines = fixtures.uploaded_lines(_DOCUMENTS[name](spark, sf_dir))
+        lines.write.text(f"{uploads}/{name}.ndjson")
+        pattern = DEFAULT_NAME_PATTERN.format(resource=name)
+        checked = validate_ndjson(read_ndjson_lines(spark, uploads, pattern))
+        raw = checked.where("error IS NULL").select(
+            "record_content",
+            F.lit(fixtures.INGESTED_AT).cast("timestamp").alias("ingestion_time"),
+            F.regexp_extract("source_file", r"([^/]+\.ndjson)", 1).alias("source_file"),
+            "source_file_row_number",
+        )
+        write_raw_table(raw, target)
 
     return spark.read.parquet(_once(spark, sf_dir, name, land))
 
 
+def lookup_table(spark: SparkSession, sf_dir: str, name: str) -> LookupTable:
+    """The raw table in ranges of its keys, with the tables that pick files for a look-up."""
+
+    def land(target: str) -> None:
+        LookupTable(spark, target, name).add(raw_table(spark, sf_dir, name), "first")
+
+    return LookupTable(spark, _once(spark, sf_dir, f"{name}-lookup", land), name)
+
+
+# Buckets of the co-located tables; at scale as many as keep a bucket within a task's memory.
+BUCKETS = 16
+
+
+def bucketed_table(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, key: str) -> DataFrame:
+    """A staged table in buckets of its key, written once."""
+
+    def land(target: str) -> None:
+        write_bucketed(df, "bucketed_" + target.rsplit("-", 1)[-1], key, BUCKETS, target)
+
+    target = _once(spark, sf_dir, f"{name}-bucketed", land)
+    return spark.table("bucketed_" + target.rsplit("-", 1)[-1])
+
+
 def _once(spark: SparkSession, sf_dir: str, name: str, land: Callable[[str], None]) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
@@ -43,22 +80,15 @@ def _once(spark: SparkSession, sf_dir: str, name: str, land: Callable[[str], Non
     return _landed[key]
 
 
-LINES_PER_FILE = 100_000
-
-
 def ndjson_files(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of uploaded NDJSON files with defects, lines in the order of their key.
-
-    The number of files grows with the input, so each stays at about ``LINES_PER_FILE``.
-    """
+    """Folder of uploaded NDJSON files with defects, lines in the order of their key."""
 
     def land(target: str) -> None:
-        rows = fixtures.table(spark, sf_dir, "customer", "c_custkey").count()
-        files = max(3, rows // LINES_PER_FILE)
         name = F.format_string("patients_%d.ndjson", "file_no")
-        lines = fixtures.ndjson_lines(spark, sf_dir, files).withColumn("file", name)
         (
-            lines.repartition(files, "file")
+            fixtures.ndjson_lines(spark, sf_dir)
+            .withColumn("file", name)
+            .repartition("file")
             # Starts with the folder column, so the writer does not sort again.
             .sortWithinPartitions("file", "c_custkey")
             .select("value", "file")
@@ -67,12 +97,3 @@ def ndjson_files(spark: SparkSession, sf_dir: str) -> str:
         )
 
     return _once(spark, sf_dir, "ndjson", land)
-
-
-def as_raw(docs: DataFrame, source_file: str) -> DataFrame:
-    return docs.select(
-        strict_json("value").alias("record_content"),
-        F.lit(fixtures.INGESTED_AT).cast("timestamp").alias("ingestion_time"),
-        F.lit(source_file).alias("source_file"),
-        F.lit(None).cast("bigint").alias("source_file_row_number"),
-    )

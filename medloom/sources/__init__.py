@@ -1,3 +1,6 @@
+from medloom.sources.csv import csv_records
+from medloom.sources.history import History
+from medloom.sources.lookup import LookupTable
 from medloom.sources.readers import (
     convert_omop_dir,
     read_bundle,
@@ -11,6 +14,7 @@ from medloom.sources.readers import (
 from medloom.sources.writers import (
     materialize_table,
     materialize_view,
+    write_bucketed,
     write_bundle,
     write_by_type_and_date,
     write_date_partitioned,
@@ -22,7 +26,10 @@ from medloom.sources.writers import (
 )
 
 __all__ = [
+    "History",
+    "LookupTable",
     "convert_omop_dir",
+    "csv_records",
     "materialize_table",
     "materialize_view",
     "read_bundle",
@@ -32,6 +39,7 @@ __all__ = [
     "read_parquet_table",
     "read_resource_files",
     "source_manifest",
+    "write_bucketed",
     "write_bundle",
     "write_by_type_and_date",
     "write_date_partitioned",

@@ -124,3 +124,15 @@ def materialize_table(df: DataFrame, name: str, path_: str | None = None) -> Dat
     writer = df.write.mode("overwrite")
     (writer.option("path", path_) if path_ else writer).saveAsTable(name)
     return df.sparkSession.table(name)
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path_: str | None = None) -> DataFrame:
+    """Table in hash buckets of a key, each sorted by it; replaces an earlier one.
+
+    Tables with the same number of buckets join on the key without a shuffle, as often as they are
+    used. A key must not hold a large share of the rows: its bucket is one task of the join.
+    """
+    # One task writes a bucket, so there is one file for each.
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path_) if path_ else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
