@@ -22,8 +22,8 @@ from medloom.llm._common import written
 SCALE = 256
 TOP = 5
 QUERY_EVERY = 50
-# Larger components would overflow a long in the products; such vectors are left out.
-MOST_COMPONENT = float(1 << 20)
+# Larger components do not fit a long as integers, and their products are no scores.
+MOST_COMPONENT = float(1 << 54)
 # Pivots are fitted on a sample of this many vectors; every vector is indexed.
 FIT_VECTORS = 5000
 PIVOTS = 64
@@ -33,20 +33,23 @@ BLOCK = 2048
 GROUP = 2048
 # Pivots whose own ring is searched first.
 FIRST_PIVOTS = 2
-# Distances are computed in double precision: bounds give way by this share.
-SLACK = 1e-9
+# Distances are computed in double precision: bounds give way by this share. Squares beyond 2^53
+# are rounded, so their differences are further off.
+SLACK, ROUNDED_SLACK = 1e-9, 1e-6
 
 
 def whole_vectors(vectors: DataFrame, is_query: Column, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, v, asks``: vectors as integers floor(SCALE * x); unusable ones are left out."""
+    """``vec_id, v, asks``: vectors as integers floor(SCALE * x); unusable ones are left out, and a
+    finite component of 2^54 or more is an error."""
     v = F.col(vector_col).cast("array<double>")
     usable = (
         F.col(id_col).isNotNull()
         & v.isNotNull()
         & (F.size(v) > 0)
-        & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < MOST_COMPONENT))
+        & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     )
-    whole = F.transform(v, lambda x: F.floor(x * SCALE).cast("bigint"))
+    too_large = F.raise_error(F.lit("component too large for a score")).cast("bigint")
+    whole = F.transform(v, lambda x: F.when(F.abs(x) < MOST_COMPONENT, F.floor(x * SCALE)).otherwise(too_large))
     asks = F.coalesce(is_query.cast("boolean"), F.lit(False)).alias("asks")
     return vectors.where(usable).select(F.col(id_col).cast("bigint").alias("vec_id"), whole.alias("v"), asks)
 
@@ -112,17 +115,17 @@ def top_k(
 
     Ties go to the smaller id; a query with fewer candidates returns all. Vectors that are null,
     empty, or hold a null, NaN or infinite component take no part, neither do null ids; vectors of
-    another length than the others are an error. Rows that repeat an id are one candidate each; as a
+    another length than the others are an error, and so are scores that fit no long. Rows that repeat an id are one candidate each; as a
     query they count once, with the smallest vector, and leave out every row of their own id. Other
     columns are not read.
     """
     asked = written(whole_vectors(vectors, is_query, id_col, vector_col), "vectors")
     whole = asked.select("vec_id", "v")
-    most = whole.agg(F.max(F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x * x))).first()[0]
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    most = whole.agg(F.max(squares)).first()[0]
     schema = "query_id long, rank int, vec_id long, score long"
     if most is None:
         return vectors.sparkSession.createDataFrame([], schema)
-    most = float(most)
     centres = fit_pivots(whole, most, pivots)
     keyed = _keyed(whole, centres, most)
     quantiles = [k / RINGS for k in range(1, RINGS)]
@@ -187,7 +190,8 @@ class _Rings:
         """All rings that may hold a vector as good as the k-th best so far."""
         radius = np.sqrt(np.maximum((q * q).sum(axis=1) + self.most - 2 * kth, 0))
         d = _distances(q, self.centres)[:, self.pivot]
-        slack = SLACK * (d + radius[:, None] + np.sqrt(self.most)) + 1e-6
+        share = SLACK if self.most < 2**53 else ROUNDED_SLACK
+        slack = share * (d + radius[:, None] + np.sqrt(self.most)) + 1e-6
         return (self.least - slack <= d + radius[:, None]) & (self.most_d + slack >= d - radius[:, None])
 
 
@@ -231,8 +235,9 @@ def _searched(
     block_key = [F.col(k).alias(f"block_{k}") for k in ("cell", "salt", "group")]
     sent = index.join(wanted, ["cell", "salt"]).select("vec_id", "v", *block_key)
     key = ["cell", "salt", "group"]
-    # Products are whole numbers of at most ``most``: exact in doubles up to 2^53.
-    kind = np.float64 if most < 2**53 else np.int64
+    # Products are whole numbers of at most ``most``: exact in doubles up to 2^53, in longs up to
+    # 2^63, beyond that in Python's own (a best score that fits no long is an error).
+    kind = np.float64 if most < 2**53 else np.int64 if most < 2**62 else object
 
     def run(block: pa.Table, asking: pa.Table) -> pa.Table:
         out = {"query_id": [], "vec_id": [], "score": []}
@@ -246,7 +251,7 @@ def _searched(
                 ids_of, row = ids[others], row[others]
                 # Stable order: among equal scores the smaller id comes first.
                 if len(row) > 4 * top:
-                    least = np.partition(row, -top)[-top]
+                    least = np.partition(row, -top)[-top] if kind is not object else sorted(row)[-top]
                     some = np.flatnonzero(row >= least)
                 else:
                     some = np.arange(len(row))

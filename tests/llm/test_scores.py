@@ -1,5 +1,7 @@
 """Quality rules, classifiers and search."""
 
+import math
+
 import numpy as np
 import pytest
 
@@ -137,3 +139,29 @@ def test_search_edges(monkeypatch, spark, block):
     assert exact_topk.top_k(df.limit(0), df.vec_id % 50 == 0).count() == 0
     few = df.where("vec_id IN (0, 1, 2)")
     assert exact_topk.top_k(few, few.vec_id % 50 == 0).count() == 2
+
+
+@pytest.mark.parametrize("power", [20, 22, 45])
+def test_search_with_large_components(spark, power):
+    """Beyond 2^20, where doubles and then longs no longer hold the products of all vectors."""
+    rng = np.random.default_rng(power)
+    rows = [(i, [float(x) for x in rng.normal(size=5)]) for i in range(150)]
+    rows += [(200 + i, [float(2**power + i), *rng.normal(size=4).tolist()]) for i in range(4)]
+    rows = [(i, [0.0, *v[1:]] if i % 50 == 0 and power > 40 and i < 200 else v) for i, v in rows]
+    if power > 40:
+        rows = [(i + 1 if i == 200 else i, v) for i, v in rows]  # no query whose scores fit no long
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, own in sorted(whole):
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in whole if i != q)[:5]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = exact_topk.top_k(df, df.vec_id % 50 == 0)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+
+
+def test_search_refuses_what_fits_no_long(spark):
+    df = spark.createDataFrame([(0, [1e300]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        exact_topk.top_k(df, df.vec_id % 50 == 0).collect()
