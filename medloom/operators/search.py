@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from medloom.functions.documents import path
 from medloom.operators.bundles import to_searchset_bundle
+from medloom.sources.substrings import SubstringIndex
 
 MAX_COUNT = 1000
 DEFAULT_COUNT = 100
@@ -191,8 +192,13 @@ def _on_day(ts: str, day: str) -> Column:
     return (F.col(ts) >= start) & (F.col(ts) < end)
 
 
-def search_patients(df: DataFrame, params: Mapping[str, str]) -> DataFrame:
-    """Over ``patient_id, external_identifier, gender, birth_date, name_search_index, updated_at``."""
+def search_patients(
+    df: DataFrame, params: Mapping[str, str], names: SubstringIndex | None = None
+) -> DataFrame:
+    """Over ``patient_id, external_identifier, gender, birth_date, name_search_index, updated_at``.
+
+    With an index of the names by ``patient_id`` a part of a name is looked for among its candidates.
+    """
     found = df
     if identifier := params.get("identifier"):
         found = found.filter(F.col("external_identifier") == identifier)
@@ -201,6 +207,8 @@ def search_patients(df: DataFrame, params: Mapping[str, str]) -> DataFrame:
     if birthdate := params.get("birthdate"):
         found = found.filter(F.col("birth_date") == F.lit(birthdate).cast("date"))
     if name := params.get("name"):
+        if names:
+            found = names.narrowed(found, "patient_id", name)
         found = found.filter(F.col("name_search_index").ilike(_like(f"%{name}%")))
     return order_desc_page(found, "updated_at", "patient_id", Page.of(params))
 

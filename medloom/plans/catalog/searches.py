@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from medloom.functions.documents import path
 from medloom.operators import search, tenancy
 from medloom.plans.catalog.base import Query, sql
+from medloom.session import scratch_dir
+from medloom.sources.substrings import SubstringIndex
 
 _ENC = "encounter_id AS id, strftime(period_start, '%Y-%m-%dT%H:%M:%SZ') AS sort_key, status"
 _OBS = "observation_id AS id, strftime(effective_datetime, '%Y-%m-%dT%H:%M:%SZ') AS sort_key, code"
@@ -52,8 +54,8 @@ def get_observation(m):
     )
 
 
-def search_patients(m):
-    people = m.tenant_raw("patients").select(
+def _people(m):
+    return m.tenant_raw("patients").select(
         path(".id").alias("patient_id"),
         path(".identifier[0].value").alias("external_identifier"),
         path(".gender").alias("gender"),
@@ -62,8 +64,18 @@ def search_patients(m):
         F.col("ingestion_time").cast("timestamp_ntz").alias("updated_at"),
         "organization_id",
     )
+
+
+def search_patients(m):
     params = {"gender": "FEMALE", "name": "CUSTOMER#0000", "_count": "30"}
-    return search.search_patients(people, params)
+    return search.search_patients(_people(m), params)
+
+
+def search_patients_indexed(m):
+    """A part of a name through posting lists."""
+    names = SubstringIndex(m.spark, scratch_dir(m.spark, "names"))
+    names.build(_people(m), "patient_id", "name_search_index")
+    return search.search_patients(_people(m), {"name": "#000_1", "_count": "1000"}, names)
 
 
 _ctx = tenancy.OrgContext("org-2", frozenset({"patient.read"}))
@@ -189,6 +201,17 @@ QUERIES: dict[str, Query] = {
             "pat",
         ),
     ),
+    "search_patients_indexed": Query(
+        search_patients_indexed,
+        sql(
+            """SELECT patient_id, 'MRN' || patient_id AS external_identifier, gender, birth_date,
+                      name_family AS name_search_index,
+                      TIMESTAMP '2025-01-01 00:00:00' AS updated_at, organization_id
+               FROM pat WHERE name_family ILIKE '%#000_1%'
+               ORDER BY updated_at DESC, patient_id LIMIT 1000""",
+            "pat",
+        ),
+    ),
     "search_encounters_by_day": Query(
         lambda m: search.search_encounters_by_day(
             m.api_encounter, {"status": "finished", "date": "1998-10-03"}

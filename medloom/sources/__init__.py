@@ -11,6 +11,7 @@ from medloom.sources.readers import (
     read_resource_files,
     source_manifest,
 )
+from medloom.sources.substrings import SubstringIndex
 from medloom.sources.writers import (
     materialize_table,
     materialize_view,
@@ -28,6 +29,7 @@ from medloom.sources.writers import (
 __all__ = [
     "History",
     "LookupTable",
+    "SubstringIndex",
     "convert_omop_dir",
     "csv_records",
     "materialize_table",
