@@ -1,6 +1,8 @@
 """Quality rules, classifiers and search."""
 
+import itertools
 import math
+import random
 
 import numpy as np
 import pytest
@@ -106,6 +108,59 @@ def test_restored_words():
         assert reader.restored_word(disguised) == plain
     assert "stupid" in reader.words("so s t u p i d!") and "idiot" in reader.words("an i.d.i.o.t here")
     assert reader.words("Plain words stay.") == {"plain", "words", "stay"}
+    # No length is too long, and a run of letters set apart holds several words.
+    assert reader.restored_word("st" + "u" * 500 + "pid") == "stupid"
+    assert {"the", "stupid", "clown"} <= reader.words("see t h e s t u p i d c l o w n !")
+    assert "moron" in reader.words(" ".join("theletter" * 30 + "moron"))
+
+
+def plain_restore(word, model, breaks=False):
+    """The best of all readings, one by one."""
+    runs = []
+    for c in word:
+        if runs and runs[-1][0] == c:
+            runs[-1][1] += 1
+        else:
+            runs.append([c, 1])
+    steps = [
+        [(x * k, cost) for x, cost in toxicity._readings(c) for k, cost in toxicity._copies(n, x, cost)] for c, n in runs
+    ]
+    best = {}
+    for path in itertools.product(*steps):
+        for ends in itertools.product([False, True] if breaks else [False], repeat=max(len(path) - 1, 0)):
+            # Where the path ends a word: after some of its steps.
+            words, p, state = [""], 0.0, "^^"
+            for k, (out, cost) in enumerate(path):
+                p += cost
+                for x in out:
+                    p += model.log_p(state, x)
+                    state = state[1] + x
+                words[-1] += out
+                if k < len(ends) and ends[k]:
+                    p += model.log_p(state, "$") + toxicity.BREAK_COST if state != "^^" else -math.inf
+                    state = "^^"
+                    words.append("")
+            p += 0.0 if breaks and state == "^^" and len(words) > 1 else model.log_p(state, "$")
+            best[" ".join(w for w in words if w)] = max(p, best.get(" ".join(w for w in words if w), -math.inf))
+    return best
+
+
+@pytest.mark.parametrize("breaks", [False, True])
+def test_restore_finds_the_best_of_all_readings(breaks):
+    rng = random.Random(int(breaks))
+    words = {w: rng.randrange(1, 50) for w in "idiot loser tall cat at a the lot aa lol".split()}
+    model = toxicity.CharModel.of(words)
+    for _ in range(150):
+        disguised = "".join(rng.choice("atloe013@$|") * rng.choice([1, 1, 1, 2, 3]) for _ in range(rng.randrange(1, 6)))
+        best = plain_restore(disguised, model, breaks)
+        found = toxicity.restore(disguised, model, breaks)
+        assert best[found] == pytest.approx(max(best.values())), (disguised, found)
+
+
+def test_letter_model_knows_true_word_ends():
+    long = "pathological"
+    grams = toxicity.gram_counts({long: 1})
+    assert grams["al$"] == 1 and "og$" not in grams and grams["^^p"] == 1
 
 
 def test_search_matches_sql(spark):
