@@ -139,16 +139,54 @@ def test_no_training_rows(spark):
     assert math.isfinite(row.score)
 
 
+def plain_scores(texts, train):
+    """log10 probability of each text by quantised counts of words and pairs, as the model has them."""
+    words, pair_counts = Counter(), Counter()
+    for own in train:
+        words.update(own)
+        pair_counts.update(zip([lm_scoring.END, *own], own))
+    n, weight = words.total(), min(max(1 - len(pair_counts) / max(words.total(), 1), 0), 0.9)
+
+    def single(w):
+        return math.floor(1.45 * 2 ** math.floor(math.log2(words[w]))) if words[w] else 0
+
+    def pair(a, b):
+        c = pair_counts[a, b]
+        return 2.9 * 2 ** math.floor(math.log2(c / 2)) if c >= 2 else 0
+
+    def p(a, b):
+        before, own = single(a), single(b)
+        share = weight * max(before - 1, 0) / (before + 1)
+        return share * min(pair(a, b), own, before) / max(before, 1) + (1 - share) * (own + 1) / (n + len(words) + 1)
+
+    return [sum(math.log10(p(a, b)) for a, b in zip([lm_scoring.END, *own], own)) for own in texts]
+
+
+def test_model_scores(monkeypatch, documents, edges):
+    """With bits enough for no false hits the scores are those of plain counts."""
+    monkeypatch.setattr(lm_scoring, "BITS_PER_ENTRY", 600)
+    docs = all_rows(documents, edges)
+    texts = [(i, lm_scoring.tokens(t)) for i, t in pairs(docs)]
+    want = plain_scores([own for _, own in texts], [own for i, own in texts if not held(i)])
+    rows = lm_scoring.score(docs).collect()
+    found = sorted((str(r.doc_id), r.n_tokens, r.score) for r in rows)
+    want = sorted((str(i), len(own), w) for (i, own), w in zip(texts, want))
+    assert [f[:2] for f in found] == [w[:2] for w in want]
+    assert np.allclose([f[2] for f in found], [w[2] for w in want])
+
+
 def test_filter_holds_levels(spark):
     rng = np.random.default_rng(2)
     hashes = rng.integers(-(2**63), 2**63, 3000)
     counts = rng.integers(2, 300, 3000)
-    pairs_df = spark.createDataFrame(list(zip(hashes.tolist(), counts.tolist())), "hash long, n long")
+    pairs_df = spark.createDataFrame(list(zip(hashes.tolist(), counts.tolist())), "pair long, n long")
     words = spark.createDataFrame([], "word binary, n long")
-    made, distinct = lm_scoring.build_filter(words, pairs_df)
-    assert distinct == 3000
+    made = lm_scoring.build_filter(words, pairs_df)
     want = np.floor(np.log2(counts / 2)).astype(int) + 1
     found = made.levels(hashes.view(np.uint64))
     assert (found >= want).all() and (found == want).mean() > 0.97
     absent = rng.integers(-(2**63), 2**63, 20000).view(np.uint64)
     assert (made.levels(absent) > 0).mean() < 0.02
+    # A filter far too small for its entries: probing ends at the highest level.
+    full = lm_scoring.build_filter(words, pairs_df, most_bytes=64)
+    assert full.false_hits() > 0.9 and full.levels(absent).max() == made.highest == want.max()
