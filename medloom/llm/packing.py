@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 from typing import NamedTuple
 
 import numpy as np
@@ -26,8 +27,11 @@ OPEN_WINDOWS = 32
 FAN_IN = 64
 END_ID = 2
 
-MEMO_ENTRIES = 400_000
+# Some 200 MB of short words and their ids.
+MEMO_ENTRIES = 1_000_000
 MEMO_CHARS = 64
+# New words that are encoded as one text.
+WORDS_AT_ONCE = 100
 # Marks that the pre-tokenizer splits off a word they follow.
 CLOSING = ".,;:!?"
 
@@ -49,6 +53,7 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.model_json = model_json
         self.model = Tokenizer.from_str(model_json)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self.model.get_vocab()
@@ -57,6 +62,16 @@ class WordTokenizer:
         self.memo = {"": b""}
         self.closing = dict(zip(CLOSING, self._each(list(CLOSING))))
 
+    @classmethod
+    def of_worker(cls, model_json: str) -> WordTokenizer:
+        """The tokenizer of this Python worker, with the words that its earlier tasks have met."""
+        import tokenizers
+
+        held = getattr(tokenizers, "_words_of_worker", None)
+        if held is None or held.model_json != model_json:
+            held = tokenizers._words_of_worker = cls(model_json)
+        return held
+
     def _each(self, texts: list[str]) -> list[bytes]:
         encoded = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
@@ -76,21 +91,23 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cuts = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        distinct = set().union(*cuts)
-        new = distinct.difference(self.memo)
+        new: set[str] = set()
+        for parts in cuts:
+            new.update(filterfalse(self.memo.__contains__, parts))
         if len(self.memo) + len(new) > MEMO_ENTRIES:
             self.memo = {"": b""}
-            new = distinct.difference(self.memo)
+            new = set().union(*cuts).difference(self.memo)
         closed = {p: p[:-1] for p in new if p[-1] in self.closing and p[:-1].isalpha()}
         plain = {p for p in new if p.isalpha()} | set(closed.values()).difference(self.memo)
         words = list(plain)
-        for at in range(0, len(words), 1000):
-            self.memo.update(zip(words[at : at + 1000], self._words(words[at : at + 1000])))
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at : at + WORDS_AT_ONCE]
+            self.memo.update(zip(some, self._words(some)))
         for p, word in closed.items():
             self.memo[p] = self.memo[word] + self.closing[p[-1]]
         others = list(new.difference(plain, closed))
         self.memo.update(zip(others, self._each(others)))
-        out = [b"".join([self.memo[p] for p in parts]) for parts in cuts]
+        out = [b"".join(map(self.memo.__getitem__, parts)) for parts in cuts]
         for p in new:
             if len(p) > MEMO_CHARS:
                 del self.memo[p]
@@ -208,7 +225,7 @@ def pack(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(model.value)
+        words = WordTokenizer.of_worker(model.value)
         part = TaskContext.get().partitionId()
         out = _Rows(part << 32, keep_ids)
         packer = Packer(window, open_windows, out.emit)
