@@ -63,7 +63,10 @@ def add_default_meta(df: DataFrame, text: str = "value", doc: str = "record_cont
 
 
 def split_valid_quarantine(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows (ready to write) and rejected rows with their error."""
+    """Valid rows (ready to write) and rejected rows with their error.
+
+    Both sides read ``checked``: hand in a table (``session.kept``) to have the input parsed once.
+    """
     valid = add_default_meta(checked.filter(F.col("error").isNull())).drop("error")
     return valid, checked.filter(F.col("error").isNotNull()).drop("record_content")
 
@@ -72,6 +75,7 @@ def split_valid_quarantine_files(checked: DataFrame) -> tuple[DataFrame, DataFra
     """Whole files pass or fail: one bad line keeps the complete file out.
 
     Finds the failed files at once, so that few of them cost the valid lines no shuffle.
+    Reads ``checked`` twice: hand in a table (``session.kept``) to have the input parsed once.
     """
     failed = sized(
         checked.filter(F.col("error").isNotNull())

@@ -159,9 +159,12 @@ def write_by_type_and_date(m):
     raw = m.raw("patients").select("record_content")
     raw = raw.unionByName(m.raw("encounters").select("record_content"))
     raw = raw.unionByName(m.raw("observations").select("record_content"))
-    day = F.coalesce(
-        F.to_date(path(".period.start", "timestamp_ntz")), F.lit("2025-01-01").cast("date")
-    )
+    moments = (".period.start", ".effectiveDateTime", ".effectivePeriod.start")
+    known = [F.to_date(path(moment, "timestamp_ntz")) for moment in moments]
+    # Observations lie under the first day of their month, which keeps the folders few. Patients have
+    # no moment of their own; they lie under the day they came in.
+    known[1:] = [F.trunc(moment, "month") for moment in known[1:]]
+    day = F.coalesce(*known, F.lit("2025-01-01").cast("date"))
     target = scratch_dir(m.spark, "typed")
     types = ["Patient", "Encounter", "Observation", "Immunization"]
     counts = writers.write_by_type_and_date(raw, types, target, day)
@@ -313,7 +316,10 @@ QUERIES: dict[str, Query] = {
                FROM (SELECT 'Patient' AS resource_type, DATE '2025-01-01' AS date, patient_id AS id
                      FROM pat
                      UNION ALL SELECT 'Encounter', period_start::DATE, encounter_id FROM enc
-                     UNION ALL SELECT 'Observation', DATE '2025-01-01', observation_id FROM obs)""",
+                     UNION ALL SELECT 'Observation',
+                            date_trunc('month',
+                                coalesce(effective_datetime, effective_period_start))::DATE,
+                            observation_id FROM obs)""",
             "pat",
             "enc",
             "obs",

@@ -11,11 +11,16 @@ from medloom.operators import bundles, jobs, validation
 from medloom.plans import fixtures
 from medloom.plans.catalog.base import Query, sql
 from medloom.plans.landing import ndjson_files
+from medloom.session import kept
 from medloom.sources.readers import read_ndjson_lines
 
 _NOW = "2025-01-01 00:00:00"
 
 
+def _checked_once(m) -> DataFrame:
+    return kept(_checked(m), "checked")
+
+
 def _checked(m) -> DataFrame:
     lines = read_ndjson_lines(m.spark, ndjson_files(m.spark, m.sf_dir))
     return validation.validate_ndjson(lines)
@@ -46,7 +51,7 @@ def add_default_meta(m):
 
 
 def split_valid_quarantine(m):
-    valid, bad = validation.split_valid_quarantine(_checked(m))
+    valid, bad = validation.split_valid_quarantine(_checked_once(m))
 
     def counted(df: DataFrame, zone: str) -> DataFrame:
         counts = df.groupBy(file_no()).agg(F.count(F.lit(1)).alias("lines"))
@@ -57,7 +62,7 @@ def split_valid_quarantine(m):
 
 def split_files(m):
     """Lines that get through by file, and the first error of the files that do not."""
-    valid, failed = validation.split_valid_quarantine_files(_checked(m))
+    valid, failed = validation.split_valid_quarantine_files(_checked_once(m))
     passed = valid.groupBy(file_no()).agg(F.count(F.lit(1)).alias("passed_lines"))
     return failed.select(file_no(), "error").unionByName(passed, allowMissingColumns=True)
 

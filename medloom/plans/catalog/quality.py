@@ -334,8 +334,8 @@ QUERIES: dict[str, Query] = {
                        (max(abs(known - share)) > {_MAX_GAP})::BIGINT AS violations, any_value(n) AS total,
                        max(abs(known - share)) <= {_MAX_GAP} AS passed
                 FROM (SELECT gender, share, count(*) AS n,
-                             count(*) FILTER (WHERE 2025 - year(birth_date) <= at) / count(*) AS known
-                      FROM pat, (VALUES {_POINTS}) AS points(at, share) GROUP BY gender, share)
+                             count(*) FILTER (WHERE 2025 - year(birth_date) <= point) / count(*) AS known
+                      FROM pat, (VALUES {_POINTS}) AS points(point, share) GROUP BY gender, share)
                 GROUP BY gender""",
             "pat",
         ),

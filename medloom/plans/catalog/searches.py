@@ -75,7 +75,7 @@ def search_patients_indexed(m):
     """A part of a name through posting lists."""
     names = SubstringIndex(m.spark, scratch_dir(m.spark, "names"))
     names.build(_people(m), "patient_id", "name_search_index")
-    return search.search_patients(_people(m), {"name": "#000_1", "_count": "1000"}, names)
+    return search.search_patients(_people(m), {"name": "0001_", "_count": "1000"}, names)
 
 
 _ctx = tenancy.OrgContext("org-2", frozenset({"patient.read"}))
@@ -207,7 +207,7 @@ QUERIES: dict[str, Query] = {
             """SELECT patient_id, 'MRN' || patient_id AS external_identifier, gender, birth_date,
                       name_family AS name_search_index,
                       TIMESTAMP '2025-01-01 00:00:00' AS updated_at, organization_id
-               FROM pat WHERE name_family ILIKE '%#000_1%'
+               FROM pat WHERE name_family ILIKE '%0001_%'
                ORDER BY updated_at DESC, patient_id LIMIT 1000""",
             "pat",
         ),

@@ -64,6 +64,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(base, f"medloom-{purpose}-{uuid.uuid4().hex}")
 
 
+def kept(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in the scratch folder: computed once, however many read it."""
+    target = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
 def sized(df: DataFrame, purpose: str, max_rows: int) -> DataFrame:
     """Write a frame that should be small to the scratch folder and read it back.
 
