@@ -19,11 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medloom.llm._common import id_and_text
+from medloom.llm._common import id_and_text, written
+from medloom.session import sized
 
-# The classifier is fitted on at most so many labelled documents of each class, chosen by a hash
-# of the id. Everything else works on all documents.
-FIT_DOCUMENTS = 6000
 # A marker is in at least so many of the toxic documents it is fitted on.
 MARKER_DOCUMENTS = 6
 # Log of how many times likelier a marker is in toxic than in clean documents, at least.
@@ -37,7 +35,12 @@ LEAST_SHARE = 0.005
 BEGINNINGS = range(4, 9)
 TOXIC_SCORE = 0.5
 
+# Up to this many labels are broadcast (some tens of MB).
+BROADCAST_LABELS = 2_000_000
+
 MEMO_ENTRIES = 400_000
+# Distinct words or markers a task counts before it hands them on.
+FLUSH_WORDS = 200_000
 # Longer words are restored anew each time they come, so that the memo stays small.
 MEMO_CHARS = 48
 
@@ -170,6 +173,7 @@ class Reader:
         self.model, self.evidence = model, evidence or {}
         self.restored: dict[str, str] = {}
         self.memo: dict[str, float] = {}
+        self.marks: dict[str, frozenset[str]] = {}
 
     def restored_word(self, word: str) -> str:
         """A word (lower case, as it stands between blanks) without its edges and disguise."""
@@ -198,6 +202,29 @@ class Reader:
         text = text.lower()
         return {self.restored_word(w) for w in set(text.split())}.union(*self.words_apart(text))
 
+    def markers(self, text: str, wanted: set[str] | None = None) -> set[str]:
+        """Distinct (wanted) markers of the restored text. A reader is asked for one ``wanted`` only."""
+        text = text.lower()
+        memo, found = self.marks, set()
+        # Whole sets of markers take more room than the few that are wanted.
+        most = MEMO_ENTRIES // 8 if wanted is None else MEMO_ENTRIES
+        for w in set(text.split()):
+            own = memo.get(w)
+            if own is None:
+                own = self._wanted(self.restored_word(w), wanted)
+                if len(w) <= MEMO_CHARS:
+                    if len(memo) >= most:
+                        memo.clear()
+                    memo[w] = own
+            if own:
+                found |= own
+        return found.union(*[self._wanted(w, wanted) for words in self.words_apart(text) for w in words])
+
+    @staticmethod
+    def _wanted(word: str, wanted: set[str] | None) -> frozenset[str]:
+        own = markers(word)
+        return frozenset(own if wanted is None else wanted.intersection(own))
+
     def log_odds(self, text: str) -> float:
         """Sum of the strongest pieces of evidence, one per word."""
         text = text.lower()
@@ -236,27 +263,31 @@ class ToxicityModel(NamedTuple):
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """Fits on a bounded sample of ``labels`` (``doc_id, label``) and their texts in ``docs``."""
+    """Fits on all of ``labels`` (``doc_id, label``) and their texts in ``docs``."""
     labels = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").distinct()
-    chosen = labels.where("label = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS)
-    chosen = chosen.union(labels.where("label = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS))
-    # Shares of the classes among all labelled rows, not only the sample.
+    # Shares of the classes among all labelled rows, with and without a text.
     sizes = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
-    sample = _of(docs, chosen)
-    # Of copies, one document is enough: texts that are equal but for case and white space.
+    # Of copies, one document is enough: texts that are equal but for case and white space. Texts are
+    # hashed before the join and the chosen ones written, so that they travel once at most.
     plain = F.trim(F.regexp_replace(F.lower("text"), r"\s+", " "))
-    copies = sample.select("doc_id", "label", F.xxhash64(plain).alias("copy"))
+    hashed = docs.select("doc_id", F.xxhash64(plain).alias("copy"))
+    copies = hashed.join(sized(labels, "toxic-labels", BROADCAST_LABELS), "doc_id")
     chosen = copies.groupBy("label", "copy").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "label").distinct()
-    sample = _of(docs, chosen)
+    chosen = sized(chosen, "toxic-chosen", BROADCAST_LABELS)
+    sample = written(docs.join(chosen, "doc_id").select("text", "label"), "toxic-sample")
     # Runs of at most three letters: bounded by the letters there are, whatever the texts.
-    letters = sample.mapInArrow(_letters, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    chars = CharModel.of_grams({r["gram"]: r["n"] for r in letters.collect()})
-    toxic = _marked(sample.where("label = 1"), chars, None).where(F.col("n") >= MARKER_DOCUMENTS)
-    of_toxic = {r["marker"]: r["n"] for r in toxic.collect()}
-    of_clean = {r["marker"]: r["n"] for r in _marked(sample.where("label = 0"), chars, of_toxic).collect()}
-    taken = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    n = {k: taken.get(k, 0) for k in (0, 1)}
+    letters = sample.mapInArrow(_letters, "gram string, n long, label int, documents long")
+    letters = letters.groupBy("gram", "label").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents")).collect()
+    chars = CharModel.of_grams({r["gram"]: r["n"] for r in letters if r["gram"] is not None})
+    n = {0: 0, 1: 0} | {r["label"]: r["documents"] for r in letters if r["gram"] is None}
     prior = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
+    # A marker of fewer documents is never chosen below. So the markers that are tried are a bounded
+    # number, whatever the corpus: a document's markers over ``LEAST_SHARE``.
+    least = max(MARKER_DOCUMENTS, LEAST_SHARE * n[1])
+    of_toxic = {r["marker"]: r["n"] for r in _marked(sample.where("label = 1"), chars).where(F.col("n") >= least).collect()}
+    own = written(_own_markers(sample, chars, set(of_toxic)), "toxic-markers")
+    clean = own.where("label = 0").select(F.explode("own").alias("marker")).groupBy("marker").count()
+    of_clean = {r["marker"]: r["count"] for r in clean.collect()}
     gains = {}
     for marker, a in of_toxic.items():
         # Counts on the careful side: rare words agree by chance.
@@ -265,94 +296,98 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
             gains[marker] = min(gain, 8.0)
     shares = {m: of_clean.get(m, 0) / (n[0] + 1) for m in gains}
     plain = {m for m, gain in gains.items() if gain > PLAIN_GAIN and of_toxic[m] >= PLAIN_SHARE * n[1]}
-    documents = _own_markers(sample.where("label = 1"), chars, set(gains))
-    evidence = {m: gains[m] for m in plain | {*_covering(documents, plain, shares)}}
+    evidence = {m: gains[m] for m in plain | {*_covering(own.where("label = 1"), plain, shares, n[1])}}
     odds = math.log(prior / (1 - prior))
     if not evidence:
         return ToxicityModel(chars, {}, prior, odds)
-    missed = _missed(sample, chars, evidence)
+    bare = own.where(~F.arrays_overlap("own", _texts(evidence))).groupBy("label").count().collect()
+    missed = {r["label"]: r["count"] for r in bare}
     without = [(missed.get(k, 0) + 0.5) / (n[k] + 1) for k in (1, 0)]
     return ToxicityModel(chars, evidence, prior, odds + math.log(without[0] / without[1]))
 
 
-def _of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The texts of at most twice ``FIT_DOCUMENTS`` chosen ids."""
-    ids = docs.sparkSession.createDataFrame(chosen.collect(), "doc_id long, label int")
-    return docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label")
-
-
-def _covering(documents: list[list[str]], plain: set[str], clean_shares: dict[str, float]) -> list[str]:
-    """Further markers, chosen one by one for what each adds: toxic documents that no earlier one is
-    in, against its share of the clean ones. Words that only some copies of one document have
-    add nothing once a common marker has covered these."""
-    of_marker: dict[str, set[int]] = {}
-    for k, own in enumerate(documents):
-        if plain.isdisjoint(own):
-            for m in own:
-                of_marker.setdefault(m, set()).add(k)
-    chosen, least = [], max(MARKER_DOCUMENTS, LEAST_SHARE * len(documents))
-    while of_marker:
-        best = max(of_marker, key=lambda m: (len(of_marker[m]) / len(documents) - clean_shares[m], -len(m), m))
-        covered = of_marker[best]
-        if len(covered) < least:
-            break
+def _texts(markers: Iterable[str]) -> Column:
+    """Markers (which hold no white space) as one constant."""
+    return F.split(F.lit("\n".join(sorted(markers))), "\n")
+
+
+def _covering(toxic: DataFrame, plain: set[str], clean_shares: dict[str, float], n: int) -> list[str]:
+    """Further markers, chosen one by one for what each adds: toxic documents (of ``n``) that no earlier
+    one is in, against its share of the clean ones. Words that only some copies of one document have
+    add nothing once a common marker has covered these. At most 1 / ``LEAST_SHARE`` rounds."""
+    known = F.array_intersect("own", _texts(clean_shares))
+    left = toxic.where(~F.arrays_overlap("own", _texts(plain))).select(known.alias("own"))
+    # Documents with the same markers go on as one row.
+    left = written(left.where(F.size("own") > 0).groupBy("own").agg(F.count("*").alias("n")), "toxic-open")
+    chosen, least = [], max(MARKER_DOCUMENTS, LEAST_SHARE * n)
+    while True:
+        open_ = left.where(~F.arrays_overlap("own", _texts(chosen)))
+        counts = open_.select(F.explode("own").alias("marker"), "n").groupBy("marker").agg(F.sum("n").alias("n"))
+        # At most as many as there are gains.
+        covered = {r["marker"]: r["n"] for r in counts.where(F.col("n") >= (MARKER_DOCUMENTS if chosen else 1)).collect()}
+        best = max(covered, key=lambda m: (covered[m] / n - clean_shares[m], -len(covered), m), default=None)
+        if best is None or covered[best] < least:
+            return chosen
         chosen.append(best)
-        of_marker = {m: own - covered for m, own in of_marker.items() if len(own - covered) >= MARKER_DOCUMENTS}
-    return chosen
 
 
-def _own_markers(sample: DataFrame, chars: CharModel, wanted: set[str]) -> list[list[str]]:
-    """The wanted markers of each document of the (bounded) sample."""
+def _own_markers(sample: DataFrame, chars: CharModel, wanted: set[str]) -> DataFrame:
+    """``label, own``: the wanted markers of each document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(chars)
         for batch in batches:
-            own = [sorted({m for w in reader.words(t.as_py()) for m in markers(w)} & wanted) for t in batch["text"]]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.string()))], names=["own"])
+            own = [sorted(reader.markers(t.as_py(), wanted)) for t in batch["text"]]
+            yield pa.RecordBatch.from_arrays([batch["label"], pa.array(own, pa.list_(pa.string()))], names=["label", "own"])
 
-    return [r["own"] for r in sample.mapInArrow(run, "own array<string>").collect()]
+    return sample.mapInArrow(run, "label int, own array<string>")
 
 
 def _letters(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the letter runs of a task's plain words."""
-    counts = Counter()
+    """Counts of the letter runs of a task's plain words, and (without a run) its documents by label."""
+    words, documents = Counter(), Counter()
+
+    def rows(grams: list, n: list[int], labels: list, counts: list) -> pa.RecordBatch:
+        columns = [pa.array(grams, pa.string()), pa.array(n, pa.int64()), pa.array(labels, pa.int32()), pa.array(counts, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["gram", "n", "label", "documents"])
+
+    def grams() -> pa.RecordBatch:
+        bare = Counter()
+        for word, n in words.items():
+            bare[_EDGE.sub("", word)] += n
+        counts = gram_counts({w: n for w, n in bare.items() if w.isalpha()})
+        words.clear()
+        return rows(list(counts), list(counts.values()), [None] * len(counts), [0] * len(counts))
+
     for batch in batches:
+        documents.update(batch["label"].to_pylist())
         for text in batch["text"]:
-            bare = [_EDGE.sub("", w) for w in set(text.as_py().lower().split())]
-            counts.update(gram_counts(Counter(w for w in bare if w.isalpha())))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["gram", "n"]
-    )
+            words.update(set(text.as_py().lower().split()))
+        if len(words) >= FLUSH_WORDS:
+            yield grams()
+    yield grams()
+    yield rows([None] * len(documents), [0] * len(documents), list(documents), list(documents.values()))
 
 
-def _marked(sample: DataFrame, chars: CharModel, wanted: dict[str, int] | None) -> DataFrame:
-    """``marker, n``: in how many documents of the sample each (wanted) marker is."""
+def _marked(sample: DataFrame, chars: CharModel) -> DataFrame:
+    """``marker, n``: in how many documents each marker is."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, counts = Reader(chars), Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                own = {m for w in reader.words(text.as_py()) for m in markers(w)}
-                counts.update(own if wanted is None else own.intersection(wanted))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["marker", "n"]
-        )
-
-    return sample.mapInArrow(run, "marker string, n long").groupBy("marker").agg(F.sum("n").alias("n"))
-
 
-def _missed(sample: DataFrame, chars: CharModel, evidence: dict[str, float]) -> dict[int, int]:
-    """How many documents of each class of the sample have no evidence."""
+        def rows() -> pa.RecordBatch:
+            columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["marker", "n"])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(chars, evidence)
         for batch in batches:
-            bare = [not reader.log_odds(t.as_py()) for t in batch["text"]]
-            kept = pa.RecordBatch.from_arrays([batch["label"]], names=["label"])
-            yield kept.filter(pa.array(bare, pa.bool_()))
+            for text in batch["text"]:
+                counts.update(reader.markers(text.as_py()))
+                if len(counts) >= FLUSH_WORDS:
+                    yield rows()
+        yield rows()
 
-    found = sample.mapInArrow(run, "label int").groupBy("label").count().collect()
-    return {r["label"]: r["count"] for r in found}
+    return sample.mapInArrow(run, "marker string, n long").groupBy("marker").agg(F.sum("n").alias("n"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -371,7 +406,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = TOXIC_SCORE,
     d = id_and_text(docs, **cols)
     own = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     model = fit(d, own.where(~held_out(F.col("doc_id"))))
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample it is fitted on
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded: letter runs, and markers of a least share
     fields = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())]
     )
