@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gzip
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -24,6 +25,9 @@ MIN_BYTES = 0
 DATE = "1970-01-01T00:00:00Z"
 RECORDS_PER_FILE = 10_000
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+# Deflate level of payloads in the shuffle, and bytes of unpacked payloads handed on together.
+PACKING = 1
+BATCH_BYTES = 32 << 20
 # Fixed value: the alphabet of base32.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -133,9 +137,41 @@ class Archive:
 
 def _stored(addressed: DataFrame) -> DataFrame:
     """Each payload once. Copies meet inside their task first, so a payload that most records share
-    reaches the shuffle once a task."""
-    single = addressed.groupBy("digest").agg(F.first("payload").alias("payload"))
-    return written(single.select("digest", _verified("payload").alias("payload")), "warc-payloads")
+    reaches the shuffle once a task; payloads travel deflated."""
+    single = _deflated(addressed.select("digest", "payload")).groupBy("digest").agg(F.first("payload").alias("payload"))
+    return written(_inflated(single).select("digest", _verified("payload").alias("payload")), "warc-payloads", "zstd")
+
+
+_PAYLOADS = pa.schema([("digest", pa.string()), ("payload", pa.binary())])
+
+
+def _deflated(payloads: DataFrame) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [zlib.compress(p.as_py(), PACKING) for p in batch["payload"]]
+            yield pa.RecordBatch.from_arrays([batch["digest"], pa.array(packed, pa.binary())], schema=_PAYLOADS)
+
+    return payloads.mapInArrow(run, "digest string, payload binary")
+
+
+def _inflated(payloads: DataFrame) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start, held, size = 0, [], 0
+            for packed in batch["payload"]:
+                held.append(zlib.decompress(packed.as_py()))
+                size += len(held[-1])
+                # A batch may unpack to many times its size.
+                if size >= BATCH_BYTES:
+                    yield rows(batch, start, held)
+                    start, held, size = start + len(held), [], 0
+            if held:
+                yield rows(batch, start, held)
+
+    def rows(batch: pa.RecordBatch, start: int, held: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch["digest"].slice(start, len(held)), pa.array(held, pa.binary())], schema=_PAYLOADS)
+
+    return payloads.mapInArrow(run, "digest string, payload binary")
 
 
 def _verified(payload: str) -> Column:

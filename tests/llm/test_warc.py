@@ -111,3 +111,17 @@ def warc_window():
 def test_empty(spark, pages):
     assert warc.archived_pages(pages.limit(0)).count() == 0
     assert warc.Archive.of_records(spark.createDataFrame([], "head binary, payload binary")).restored().count() == 0
+
+
+def test_payloads_travel_and_lie_compressed(spark, monkeypatch):
+    # Unpacked a few at a time, and written smaller than snappy does.
+    monkeypatch.setattr(warc, "BATCH_BYTES", 1000)
+    words = [f"<p>word{k % 97} and word{k * 7 % 89} of page {k}</p>" for k in range(3000)]
+    pages = spark.createDataFrame([(k, None, " ".join(words[k : k + 60])) for k in range(1000)], "page_id long, url string, html string")
+    archive = warc.Archive.of_pages(pages.repartition(2))
+    plan = warc._deflated(pages.selectExpr("sha2(html, 256) digest", "cast(html as binary) payload"))
+    assert plan.selectExpr("sum(length(payload))").first()[0] < 0.4 * sum(len(r.html) for r in pages.collect())
+    got = {bytes(r.payload).decode() for r in archive.payloads.collect()}
+    assert got == {r.html for r in pages.collect()} and archive.payloads.count() == 1000
+    assert all(".zstd." in f for f in archive.payloads.inputFiles())
+    assert archive.pages().where("record_type = 'response'").count() == 1000
